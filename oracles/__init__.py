@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def oracle_sql() -> dict[str, str]:
-    from oracles import reports
+    from oracles import cleaning, ingest, lake, reports
 
-    return {**reports.ORACLES}
+    return {**reports.ORACLES, **lake.ORACLES, **cleaning.ORACLES, **ingest.ORACLES}

@@ -52,9 +52,13 @@ def read_export(spark: SparkSession, path: str, metric: str, metric_at: int = -2
     return named.withColumns({c: to_double(c) for c in (metric, year, entity)})
 
 
-def read_prepared(spark: SparkSession, path: str, category: str, year: str | int) -> DataFrame:
-    """A prepared table; the year becomes a column if the file has none."""
-    df = read_text_table(spark, path)
+def read_prepared(spark: SparkSession, path: str, category: str, year: str | int,
+                  file_format: str = "parquet") -> DataFrame:
+    """A prepared table of texts; the year becomes a column if the file has none.
+
+    Parquet by default, as it keeps headers with line breaks and stays splittable.
+    """
+    df = read_text_table(spark, path) if file_format == "csv" else spark.read.format(file_format).load(path)
     if S.YEAR not in {S.resolve(c, category) for c in df.columns}:
         df = df.withColumn(S.YEAR, F.lit(str(year)))
     return df.withColumns({"_category": F.lit(category), "_source_year": F.lit(str(year))})
