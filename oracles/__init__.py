@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def oracle_sql() -> dict[str, str]:
-    from oracles import cleaning, ingest, lake, reports
+    from oracles import cleaning, ingest, lake, models, reports
 
-    return {**reports.ORACLES, **lake.ORACLES, **cleaning.ORACLES, **ingest.ORACLES}
+    return {**reports.ORACLES, **lake.ORACLES, **cleaning.ORACLES, **ingest.ORACLES, **models.ORACLES}

@@ -20,38 +20,60 @@ def union_years(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def canonical_columns(df: DataFrame, category: str) -> DataFrame:
+    """Leftover columns out, names resolved, dots removed, nullable columns added."""
+    return (df.transform(S.drop_junk, category).transform(S.rename_to_canonical, category)
+            .transform(S.strip_dots).transform(S.add_nullable, category))
+
+
+def clean_values(df: DataFrame, category: str) -> DataFrame:
+    """Values normalised, null policy applied, columns in canonical order."""
+    return (df.transform(C.normalise_values, category)
+            .transform(C.apply_null_policy, S.metric_of(category)).transform(S.align_to_category, category))
+
+
 def clean_table(df: DataFrame, category: str) -> DataFrame:
-    """Columns to the canonical schema, values normalised, null policy applied, order aligned."""
-    named = (df.transform(S.drop_junk, category).transform(S.rename_to_canonical, category)
-             .transform(S.strip_dots).transform(S.add_nullable, category))
-    values = C.normalise_values(named, category)
-    return C.apply_null_policy(values, S.metric_of(category)).transform(S.align_to_category, category)
-
-
-def clean_year(df: DataFrame, category: str, year: str) -> tuple[DataFrame | None, dict]:
-    """One year's table and its report; a pivoted file gives no table."""
-    report = {"category": category, "year": year}
-    if S.is_pivoted(category, year):
-        return None, {**report, "status": "skipped", "reason": "pivoted"}
-    table = clean_table(df, category)
-    if year == MULTI_YEAR:
-        table = table.filter(F.col(S.YEAR).between(*MULTI_YEAR_RANGE))
-    return table, {**report, "status": "processed", **S.validate(table.columns, category)}
-
-
-def merge_category(spark: SparkSession, category: str,
-                   files: Sequence[tuple[str, str]]) -> tuple[DataFrame | None, list[dict]]:
-    """Historical table of a category from (year, path) pairs; a bad file is reported, not fatal."""
-    tables, reports = [], []
+    return clean_values(canonical_columns(df, category), category)
+
+
+def wanted_years(df: DataFrame) -> DataFrame:
+    """Of the multi-year file only its chosen years."""
+    other = F.col("_source_year") != MULTI_YEAR
+    return df.filter(other | F.col(S.YEAR).between(*MULTI_YEAR_RANGE))
+
+
+def merge_tables(tables: Sequence[tuple[str, DataFrame]], category: str) -> tuple[DataFrame | None, list[dict]]:
+    """Historical table from (year, prepared table) pairs, with a report for each.
+
+    Tables that share a layout are united before their values are cleaned, so the plan holds the
+    cleaning once per layout and not once per file. A pivoted file gives no rows.
+    """
+    layouts, reports = {}, []
+    for year, df in tables:
+        report = {"category": category, "year": year}
+        if S.is_pivoted(category, year):
+            reports.append({**report, "status": "skipped", "reason": "pivoted"})
+            continue
+        named = canonical_columns(df, category)
+        reports.append({**report, "status": "processed", **S.validate(named.columns, category)})
+        layouts.setdefault(frozenset(named.columns), []).append(named)
+    if not layouts:
+        return None, reports
+    cleaned = [clean_values(union_years(same), category).transform(wanted_years) for same in layouts.values()]
+    return union_years(cleaned), reports
+
+
+def merge_category(spark: SparkSession, category: str, files: Sequence[tuple[str, str]],
+                   file_format: str = "parquet") -> tuple[DataFrame | None, list[dict]]:
+    """``merge_tables`` over (year, path) pairs; a file that cannot be read is reported, not fatal."""
+    tables, failed = [], []
     for year, path in sorted(files):
         try:
-            table, report = clean_year(read_prepared(spark, path, category, year), category, year)
+            tables.append((year, read_prepared(spark, path, category, year, file_format)))
         except Exception as e:
-            table, report = None, {"category": category, "year": year, "status": "error", "reason": str(e)}
-        reports.append(report)
-        if table is not None:
-            tables.append(table)
-    return (union_years(tables) if tables else None), reports
+            failed.append({"category": category, "year": year, "status": "error", "reason": str(e)})
+    merged, reports = merge_tables(tables, category)
+    return merged, reports + failed
 
 
 def merge_all(spark: SparkSession, files: Mapping[str, Sequence[tuple[str, str]]]) -> dict[str, DataFrame]:

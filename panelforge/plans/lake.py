@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.numbers import to_int
 from panelforge.operators import schema as S
-from panelforge.operators.history import clean_year, union_years
+from panelforge.operators.history import merge_category, union_years
 from panelforge.plans import driver_tables as D
 from panelforge.session import shared_dir
 from panelforge.sources import delimited, lake, reports
@@ -152,10 +152,9 @@ def historical_merge(spark, sf_dir):
         for name, (year, condition) in parts.items():
             path = f"{root}/{category}/year={name}"
             _dirty_year(mine.filter(condition), category, year, 17).write.parquet(path)
-            table, _ = clean_year(delimited.read_prepared(spark, path, category, name), category, name)
-            if table is not None:
-                tables.append(table)
-        merged = union_years(tables).withColumnRenamed(S.metric_of(category), "METRIC")
+            tables.append((name, path))
+        merged, _ = merge_category(spark, category, tables)
+        merged = merged.withColumnRenamed(S.metric_of(category), "METRIC")
         out.append(merged.select(
             F.col("_category").alias("category"), F.col(S.YEAR).alias("year"), F.col(S.SEMESTER).alias("semester"),
             F.col("SECTOR IES").alias("sector"), F.col("PROGRAMA ACADÉMICO").alias("programme"),
