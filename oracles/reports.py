@@ -158,7 +158,7 @@ ORACLES = {
         SELECT *, CASE WHEN change_pp < 0 THEN 'down' ELSE 'up' END AS trend FROM changed""",
     "regional_deterioration": CHANGE + """
         SELECT department, round(rate_before * 100, 2) AS rate_before_pct,
-               round(rate_after * 100, 2) AS rate_after_pct, round(change_pp, 2) AS change_pp
+               round(rate_after * 100, 2) AS rate_after_pct, round(change_pp, 2) + 0.0 AS change_pp
         FROM changed WHERE change_pp < 0""",
     "regional_bands": CHANGE + """
         SELECT department, rate_after,

@@ -73,10 +73,14 @@ def fold_text(text: str) -> str:
     return text.strip().lower().translate(str.maketrans(ACCENTED, PLAIN))
 
 
+def keyword_pattern(keywords: Iterable[str]) -> str:
+    """Alternation of the folded keywords."""
+    return "|".join(re.escape(k) for k in dict.fromkeys(map(fold_text, keywords)))
+
+
 def mentions_any(c: str | Column, keywords: Iterable[str], whole: Iterable[str] = ()) -> Column:
     """True when the folded cell contains a keyword, or equals one of the ``whole`` words."""
-    pattern = "|".join(re.escape(k) for k in dict.fromkeys(map(fold_text, keywords)))
-    hit = fold(c).rlike(pattern)
+    hit = fold(c).rlike(keyword_pattern(keywords))
     whole = [fold_text(w) for w in whole]
     if whole:
         hit = hit | fold(c).isin(*whole)
