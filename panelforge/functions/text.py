@@ -8,8 +8,10 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Words that stand for a missing text, compared trimmed and in lower case.
-NULL_TOKENS = ("nan", "none", "null", "")
+# Words that stand for a missing text, as does the empty one; compared in any case
+# and without the spaces around them.
+NULL_TOKENS = ("nan", "none", "null")
+_NULL_TOKEN = rf"(?i)\A *(?:{'|'.join(NULL_TOKENS)})? *\z"
 
 # The only six accented letters that comparison keys fold.
 ACCENTED = "áéíóúñ"
@@ -26,7 +28,7 @@ def lookup_key(c: str | Column) -> Column:
 
 
 def is_null_token(c: str | Column) -> Column:
-    return lookup_key(c).isin(*NULL_TOKENS)
+    return col_of(c).rlike(_NULL_TOKEN)
 
 
 def null_if_token(c: str | Column) -> Column:
