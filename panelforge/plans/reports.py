@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators import analytics as A
 from panelforge.operators.panel import (
-    DEFAULT, build_panel, complete_cases, join_facts, risk_thresholds, sum_by_entity_year,
+    DEFAULT, complete_cases, join_facts, risk_thresholds, sum_by_entity_year,
 )
 from panelforge.plans import driver_tables as D
 
@@ -14,28 +14,29 @@ MAX_LOAD = D.MAX_LOAD
 
 
 def facts_by_category(spark, sf_dir):
-    """Six separate facts at row level with their attributes, as a lake would hold them."""
-    rows = (D.table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
-            .join(D.suppliers(spark, sf_dir), F.col("l_suppkey") == F.col("entity_id")))
-    keys = DEFAULT.keys
+    """Six separate facts at row level, as a lake would hold them."""
+    rows = D.table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("entity_id"), F.year("l_shipdate").alias("year"), "l_quantity", "l_partkey",
+        "l_linenumber", "l_linestatus", "l_returnflag", "l_discount")
 
-    def fact(metric, condition=None):
-        part = rows if condition is None else rows.filter(condition)
-        return part.select(*keys, F.col("l_quantity").alias(metric))
+    def fact(metric, condition=F.lit(True)):
+        return rows.filter(condition).select("entity_id", "year", F.col("l_quantity").alias(metric))
 
-    staff = rows.filter(D.is_staff()).select(*keys, "l_partkey").distinct()
+    staff = rows.filter(D.is_staff()).select("entity_id", "year", "l_partkey").distinct()
     return {
         "enrolled": fact("enrolled", D.is_enrolled()),
         "applicants": fact("applicants"),
         "admitted": fact("admitted", D.is_admitted()),
         "graduated": fact("graduated", D.is_graduated()),
         "first_year": fact("first_year", D.is_enrolled() & (F.col("l_linenumber") == 1)),
-        "staff": staff.select(*keys, F.lit(1.0).alias("staff")),
+        "staff": staff.select("entity_id", "year", F.lit(1.0).alias("staff")),
     }
 
 
 def panel_from_facts(spark, sf_dir):
-    return join_facts(facts_by_category(spark, sf_dir), DEFAULT.enrolled, DEFAULT.keys)
+    """The panel from separate facts; attributes join the sums, not the rows."""
+    joined = join_facts(facts_by_category(spark, sf_dir), DEFAULT.enrolled, ["entity_id", "year"])
+    return joined.join(D.suppliers(spark, sf_dir), "entity_id")
 
 
 def fact_sums(spark, sf_dir):

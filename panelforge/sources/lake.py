@@ -49,9 +49,12 @@ def write_all(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite
 
 
 def read_category(spark: SparkSession, root: str, category: str, years: Sequence[int] | None = None,
-                  year: str = S.YEAR) -> DataFrame:
-    """One category with the columns of all its years; the year filter prunes folders."""
-    df = spark.read.option("mergeSchema", "true").parquet(f"{root}/{category}")
+                  year: str = S.YEAR, merge_schema: bool = True) -> DataFrame:
+    """One category with the columns of all its years; the year filter prunes folders.
+
+    Merging opens every footer (in a Spark job); turn it off where years share a schema.
+    """
+    df = spark.read.option("mergeSchema", merge_schema).parquet(f"{root}/{category}")
     return df.filter(F.col(year).isin(list(years))) if years else df
 
 
@@ -85,7 +88,7 @@ def integrity_report(spark: SparkSession, root: str, categories: Iterable[str] |
     reports = []
     for category in categories or list_categories(spark, root):
         try:
-            per_year = (read_category(spark, root, category, year=year).groupBy(year)
+            per_year = (read_category(spark, root, category, year=year, merge_schema=False).groupBy(year)
                         .agg(F.count("*").alias("_rows")))
             reports.append(per_year.agg(
                 F.lit(category).alias("category"), F.lit("ok").alias("status"),
