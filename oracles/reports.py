@@ -92,6 +92,7 @@ ORACLES = {
         SELECT * FROM lagged WHERE grad_rate IS NOT NULL AND prev_grad_rate IS NOT NULL
           AND staff_load IS NOT NULL AND growth IS NOT NULL AND retention IS NOT NULL
           AND enrolled IS NOT NULL AND gap IS NOT NULL""",
+    "distinct_values": PANEL + "SELECT DISTINCT year, sector FROM metrics",
     "national_evolution": PANEL + """
         SELECT year, sum(applicants) AS applicants, sum(admitted) AS admitted, sum(enrolled) AS enrolled,
                sum(graduated) AS graduated,

@@ -68,6 +68,11 @@ def panel_complete_cases(spark, sf_dir):
     return complete_cases(D.lagged_panel(spark, sf_dir), DEFAULT.model_features)
 
 
+def distinct_values(spark, sf_dir):
+    """Years and sectors that the panel holds."""
+    return D.metrics_panel(spark, sf_dir).select("year", "sector").distinct()
+
+
 def national_extrema(spark, sf_dir):
     return A.national_extrema(A.national_evolution(D.ratios_panel(spark, sf_dir)))
 
@@ -129,6 +134,7 @@ def queries() -> dict:
         "panel_train_thresholds": panel_train_thresholds,
         "panel_risk_label": D.labelled_panel,
         "complete_cases": panel_complete_cases,
+        "distinct_values": distinct_values,
         "national_evolution": lambda s, d: A.national_evolution(D.ratios_panel(s, d)),
         "national_extrema": national_extrema,
         "top10_entities": lambda s, d: A.top_entities(D.ratios_panel(s, d)),
