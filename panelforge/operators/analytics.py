@@ -1,4 +1,8 @@
-"""Descriptive and decision queries over any panel."""
+"""Descriptive and decision queries over any panel.
+
+Where a query says so, it reads its input twice (for a range, a maximum or an overall figure); give
+it a staged frame then.
+"""
 
 from __future__ import annotations
 
@@ -121,7 +125,7 @@ def fit_line(fit: DataFrame, points: int = 100) -> DataFrame:
 
 
 def mark_sizes(profile: DataFrame, size: str = "mean_enrolled", spec: PanelSpec = DEFAULT) -> DataFrame:
-    """Mark area in proportion to the largest entity, clipped."""
+    """Mark area in proportion to the largest entity, clipped. Reads ``profile`` twice."""
     largest = profile.agg(F.max(size)).scalar()
     return profile.withColumn("_largest", largest).select(
         spec.entity, clip(F.try_divide(F.col(size), F.col("_largest")) * MARK_RANGE[1], *MARK_RANGE).alias("mark"))
@@ -159,9 +163,8 @@ def unsustainable_growth(panel: DataFrame, since: int, spec: PanelSpec = DEFAULT
                            "mean_growth": s.growth, "mean_enrolled": s.enrolled})
     means = stage(recent.dropna(subset=["mean_load", "mean_rate"]), "entity-means")
     cut = exact_quantiles(means, {"p75_load": Quantile("mean_load", 0.75, "cont"),
-                                  "p25_rate": Quantile("mean_rate", 0.25, "cont")}).select(F.struct("*")).scalar()
-    hits = means.withColumn("_cut", cut).filter(
-        (F.col("mean_load") > F.col("_cut.p75_load")) & (F.col("mean_rate") < F.col("_cut.p25_rate")))
+                                  "p25_rate": Quantile("mean_rate", 0.25, "cont")}).first()
+    hits = means.filter((F.col("mean_load") > F.lit(cut["p75_load"])) & (F.col("mean_rate") < F.lit(cut["p25_rate"])))
     return (hits.orderBy(F.desc("mean_load"), s.entity)
             .select(s.entity, s.name, s.sector, s.department,
                     *[rounded(F.col(c)).alias(c) for c in ("mean_load", "mean_rate", "mean_growth", "mean_enrolled")]))
@@ -195,12 +198,10 @@ def regional_bands(change: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
     """Departments in three bands by the 0.3 and 0.6 quantiles of the later rate."""
     rates = stage(change.select(spec.department, "rate_after"), "regional-rates")
     cut = exact_quantiles(rates, {"low": Quantile("rate_after", 0.3, "cont"),
-                                  "mid": Quantile("rate_after", 0.6, "cont")}).select(F.struct("*")).scalar()
+                                  "mid": Quantile("rate_after", 0.6, "cont")}).first()
     rate = F.col("rate_after")
-    return (rates.withColumn("_cut", cut)
-            .withColumn("band", F.when(rate < F.col("_cut.low"), "critical")
-                        .when(rate < F.col("_cut.mid"), "medium").otherwise("high"))
-            .drop("_cut").orderBy("rate_after", spec.department))
+    band = F.when(rate < F.lit(cut["low"]), "critical").when(rate < F.lit(cut["mid"]), "medium").otherwise("high")
+    return rates.withColumn("band", band).orderBy("rate_after", spec.department)
 
 
 def plausible(panel: DataFrame, max_load: float = MAX_LOAD, max_rate: float = MAX_RATE,
@@ -212,7 +213,10 @@ def plausible(panel: DataFrame, max_load: float = MAX_LOAD, max_rate: float = MA
 
 def yearly_correlation(panel: DataFrame, max_load: float = MAX_LOAD, max_rate: float = MAX_RATE,
                        spec: PanelSpec = DEFAULT) -> DataFrame:
-    """Pearson per year over all known pairs, next to the global one over plausible pairs."""
+    """Pearson per year over all known pairs, next to the global one over plausible pairs.
+
+    Reads ``panel`` twice.
+    """
     s = spec
     pairs = known(panel, s.year).dropna(subset=[s.load, s.grad_rate])
     overall = plausible(panel, max_load, max_rate, spec).agg(pearson(s.load, s.grad_rate)).scalar()
@@ -221,7 +225,10 @@ def yearly_correlation(panel: DataFrame, max_load: float = MAX_LOAD, max_rate: f
 
 
 def density_grid(df: DataFrame, x: str, y: str, cells: int = 25) -> DataFrame:
-    """Counts on a ``cells`` by ``cells`` grid over the range of the data; empty cells are absent."""
+    """Counts on a ``cells`` by ``cells`` grid over the range of the data; empty cells are absent.
+
+    Reads ``df`` twice.
+    """
     rows = df.dropna(subset=[x, y])
     span = rows.agg(F.struct(F.min(x).alias("x0"), F.max(x).alias("x1"),
                              F.min(y).alias("y0"), F.max(y).alias("y1"))).scalar()

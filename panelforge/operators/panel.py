@@ -166,12 +166,15 @@ def risk_criteria(spec: PanelSpec, low_grad: Column, low_retention: Column, high
 
 def add_risk_label(panel: DataFrame, spec: PanelSpec = DEFAULT,
                    fit_years: Sequence[int] | None = None) -> DataFrame:
-    """Label by the percentile criteria; the thresholds enter the plan as a scalar subquery."""
-    cut = risk_thresholds(panel, spec, fit_years).select(F.struct("*")).scalar()
-    return (panel.withColumn("_cut", cut)
-            .withColumn(spec.label, risk_criteria(
-                spec, F.col("_cut.p33_grad"), F.col("_cut.p33_retention"), F.col("_cut.p75_load")))
-            .drop("_cut"))
+    """Label by the percentile criteria.
+
+    The thresholds are one row, fetched first and put in as literals: filters on the label would
+    copy a subquery to every place they are pushed to. Pass a staged panel.
+    """
+    cut = risk_thresholds(panel, spec, fit_years).first()
+    low_grad, low_retention, high_load = (
+        F.lit(cut[c]).cast("double") for c in ("p33_grad", "p33_retention", "p75_load"))
+    return panel.withColumn(spec.label, risk_criteria(spec, low_grad, low_retention, high_load))
 
 
 def complete_cases(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from panelforge.operators.panel import (
     DEFAULT, complete_cases, join_facts, risk_thresholds, sum_by_entity_year,
 )
 from panelforge.plans import driver_tables as D
+from panelforge.session import stage
 
 MAX_LOAD = D.MAX_LOAD
 
@@ -97,7 +98,7 @@ def load_trend_line(spark, sf_dir):
 
 
 def marker_clip(spark, sf_dir):
-    return A.mark_sizes(_profile(spark, sf_dir)).withColumn("mark", A.rounded(F.col("mark")))
+    return A.mark_sizes(stage(_profile(spark, sf_dir), "profile")).withColumn("mark", A.rounded(F.col("mark")))
 
 
 def _change(spark, sf_dir):
@@ -105,7 +106,7 @@ def _change(spark, sf_dir):
 
 
 def density_grid(spark, sf_dir):
-    rows = A.plausible(D.ratios_panel(spark, sf_dir), MAX_LOAD)
+    rows = A.plausible(D.staged_ratios(spark, sf_dir), MAX_LOAD)
     return A.density_grid(rows.withColumn("rate_pct", F.col("grad_rate") * 100), "staff_load", "rate_pct")
 
 
@@ -149,7 +150,7 @@ def queries() -> dict:
         "regional_change": _change,
         "regional_deterioration": lambda s, d: A.deteriorating(_change(s, d)),
         "regional_bands": lambda s, d: A.regional_bands(_change(s, d)),
-        "yearly_correlation": lambda s, d: A.yearly_correlation(D.ratios_panel(s, d), MAX_LOAD),
+        "yearly_correlation": lambda s, d: A.yearly_correlation(D.staged_ratios(s, d), MAX_LOAD),
         "density_grid": density_grid,
         "area_loss": area_loss,
         "exec_summary": lambda s, d: A.executive_summary(D.labelled_panel(s, d)),
