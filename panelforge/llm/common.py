@@ -32,12 +32,12 @@ def hashed(text: str, seed: int = 0) -> int:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, n_folds: int, held_fold: int,
-                    per_class: int) -> list[tuple[str, int]]:
-    """At most ``per_class`` texts of each label, outside the held-out fold, for fitting on the driver.
+                    per_class: tuple[int, int]) -> list[tuple[str, int]]:
+    """At most ``per_class`` texts of labels 0 and 1, outside the held-out fold, for fitting on the driver.
 
     Rows are drawn by a hash of doc_id, so the draw is the same at every partitioning. Only the ids
-    are joined (at most 2 * per_class, hence the hint); texts over SAMPLE_CHARS are left out, so the
-    sample holds at most 2 * per_class * SAMPLE_CHARS characters. Rows without id or label don't count;
+    are joined (at most sum(per_class), hence the hint); texts over SAMPLE_CHARS are left out, so the
+    sample holds at most sum(per_class) * SAMPLE_CHARS characters. Rows without id or label don't count;
     a document labelled twice takes its smaller label.
     """
     known = (labels.select("doc_id", F.col(label).cast("int").alias("y"))
@@ -45,11 +45,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, n_folds: int
              .groupBy("doc_id").agg(F.min("y").alias("y")))
     drawn = None
     for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class[y])
         drawn = part if drawn is None else drawn.unionByName(part)
     texts = (docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
              .join(F.broadcast(drawn), "doc_id"))
-    rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * per_class).collect()
+    rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sum(per_class)).collect()
     return [(r.text, r.y) for r in rows]
 
 

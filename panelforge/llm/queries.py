@@ -5,8 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import decontamination, mixing, simhash
-from panelforge.llm.common import table
+from panelforge.llm import (decontamination, fertility, language, mixing, paragraphs, personal_data, quality,
+                            simhash, toxicity, urls)
+from panelforge.llm.common import fold, table
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.train(docs))
+    return found.select("doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
+                        F.col("language.language").alias("lang_pred"), F.col("language.score").alias("score"),
+                        F.col("language.accepted").alias("accepted"))
+
+
+def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeats(table(spark, sf_dir, "documents"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "filter.host", "filter.path", "filter.rule", "filter.verdict")
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +32,11 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.select("doc_id", "source", "copy_no")
 
 
+def op5_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = fertility.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "rules.*")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.to_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -25,6 +48,28 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", *decontamination.digest(F.col("hits")))
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mixing, op6_simhash, op7_decontamination)}
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = personal_data.find(docs.select("doc_id", "text"), personal_data.train(docs))
+    return found.select("doc_id", *personal_data.digest(F.col("personal")))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "toxicity.*")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.classify(docs.select("doc_id", "text"), quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "quality.*")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_paragraph_dedup, op3_url_filter, op4_source_mixing, op5_tokeniser_fertility, op6_simhash,
+    op7_decontamination, op8_personal_data, op9_toxicity, op10_quality)}
 
-ORACLES = {"op4_source_mixing": mixing.ORACLE, "op7_decontamination": decontamination.ORACLE}
+#: Statements for those that SQL can express; the others are tested against brute force and held-out labels.
+ORACLES = {"op3_url_filter": urls.ORACLE, "op4_source_mixing": mixing.ORACLE,
+           "op7_decontamination": decontamination.ORACLE}
