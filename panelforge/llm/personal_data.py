@@ -2,9 +2,10 @@
 
 The patterns find e-mail and IP addresses, payment cards and phone numbers by fixed rules. The network
 is trained in numpy on spans labelled in a bounded sample (the rules', keys and passwords after their
-names, and variants  It reads overlapping windows of characters; the
-tag of a character is taken from the window in which it stands farthest from a border, so spans are
-reconciled over the whole text, whatever windows they cross.
+names, and variants of them with other digits) and finds what the rules have no pattern for: credentials,
+and numbers and addresses written otherwise. It reads overlapping windows of characters; the tag of a
+character is taken from the window in which it stands farthest from a border, so spans are reconciled
+over the whole text, whatever windows they cross.
 
 Every labelled kind holds a digit or an at sign, so windows are laid over the surroundings of all of
 those, of the whole text; text far from any has no span to find.
