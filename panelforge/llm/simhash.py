@@ -253,7 +253,7 @@ def keep_one(docs: DataFrame, k: int = 3, size: int = 3) -> DataFrame:
     """
     found = near_duplicates(docs, k, size)
     named = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(named.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])  # merged: it grows
     nameless = docs.where("doc_id is null")
     if not nameless.isEmpty():
         orphan = found.where("component_id is null").select("fp").distinct()
