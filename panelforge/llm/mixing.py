@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.session import stage
+
 #: A mean above this is drawn as a sum of that many equal parts (sums of Poissons are Poisson).
 PART = 16.0
 #: The inverse is exact up to where the tail beyond is under 2^-53, the step of the uniform number.
@@ -52,11 +54,10 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, power
         listed = F.create_map(*(F.lit(x) for kv in weights.items() for x in (kv[0], float(kv[1])))) if weights else None
         share = F.coalesce(listed[F.coalesce("source", F.lit(""))], F.lit(0.0)) if weights else F.lit(0.0)
         per = per.withColumn("share", share)
-    total = per.agg(F.sum("size").alias("total"), F.sum("share").alias("shares"))
-    # one row; the join of one row to a row per source
-    rated = per.join(total, F.lit(True))
-    rate = F.when(F.col("shares") > 0, F.col("share") / F.col("shares") * F.col("total") / F.col("size")).otherwise(0.0)
-    return (rated.withColumn("rate", rate)
+    per = stage(per, "sources")
+    all_ = per.agg(F.sum("size").alias("size"), F.sum("share").alias("share")).first()  # two numbers
+    rate = (F.col("share") / F.lit(all_["share"]) * F.lit(all_["size"]) / F.col("size") if all_["share"] else F.lit(0.0))
+    return (per.withColumn("rate", rate)
             .withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int"))
             .withColumn("cdf", cumulative(F.col("rate") / F.col("parts")))
             .select("source", "size", "rate", "parts", "cdf"))
