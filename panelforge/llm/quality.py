@@ -42,7 +42,13 @@ def index_vector(unit: str, dim: int = DIM) -> np.ndarray:
 
 def shape(word: str) -> str:
     """Kinds of characters in order, runs as one: ``Word!!`` is ``Aa!``."""
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    word = word[:64]
+    if word.isalpha():
+        if word.islower():
+            return "a"
+        if word[1:].islower():
+            return "Aa"
+    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return _RUN.sub(r"\1", kinds)[:12]
 
 
@@ -83,6 +89,7 @@ class Pooler:
     def __init__(self, vectors: dict[str, np.ndarray], limit: int = 60_000):
         self.vectors, self.limit = vectors, limit
         self.again, self.fresh = index_vector(AGAIN), index_vector(FRESH)
+        self.shapes: dict[str, np.ndarray] = {}
         self.reset()
 
     def reset(self) -> None:
@@ -96,7 +103,13 @@ class Pooler:
         v = self.vectors.get(stem(word))
         if v is not None:
             self.rows[n, :DIM] = v
-        self.rows[n, DIM:] = index_vector(shape(word))
+        kind = shape(word)
+        v = self.shapes.get(kind)
+        if v is None:
+            if len(self.shapes) > self.limit:
+                self.shapes.clear()
+            v = self.shapes[kind] = index_vector(kind)
+        self.rows[n, DIM:] = v
 
     def pool(self, text: str | None) -> np.ndarray:
         """Mean vector of words, mean vector of shapes, number of words."""
