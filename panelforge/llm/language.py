@@ -27,11 +27,22 @@ UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def subwords(word: str) -> list[int]:
+class Buckets(dict):
+    """Buckets of subwords met, up to a bound; most subwords come back very often."""
+
+    def __missing__(self, gram: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        self[gram] = bucket = hashed(gram, len(gram)) % BUCKETS
+        return bucket
+
+
+def subwords(word: str, buckets: Buckets) -> list[int]:
     """Buckets of a lower-cased word: the whole of it, and its runs of 2, 3 and 4 characters."""
-    marked = f"<{word[:40]}>"
-    grams = [marked, *(marked[i:i + n] for n in (2, 3, 4) for i in range(len(marked) - n + 1))]
-    return [hashed(g, len(g)) % BUCKETS for g in grams]
+    w = f"<{word[:40]}>"
+    n = len(w)
+    grams = [w[i:i + 2] for i in range(n - 1)] + [w[i:i + 3] for i in range(n - 2)] + [w[i:i + 4] for i in range(n - 3)]
+    return [hashed(w, n) % BUCKETS, *map(buckets.__getitem__, grams)]
 
 
 @dataclass
@@ -43,9 +54,9 @@ class LanguageModel:
     t: float
     least: float      # accepted from this probability on
 
-    def word_logits(self, word: str) -> tuple[np.ndarray, int]:
-        ids = subwords(word)
-        return self.embed[ids].sum(axis=0) @ self.weight, len(ids)
+    def bucket_logits(self) -> np.ndarray:
+        """What a subword of each bucket adds to the logits."""
+        return self.embed @ self.weight
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         z = logits / self.t
@@ -56,8 +67,9 @@ class LanguageModel:
 class Reader:
     """Logits of whole texts; keeps the parts of words met, up to a bound."""
 
-    def __init__(self, model: LanguageModel, limit: int = 100_000):
+    def __init__(self, model: LanguageModel, limit: int = 250_000):
         self.model, self.limit = model, limit
+        self.buckets, self.logits_of = Buckets(), model.bucket_logits()
         self.reset()
 
     def reset(self) -> None:
@@ -68,7 +80,8 @@ class Reader:
         n = len(self.cache) - 1
         if n >= len(self.parts):
             self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)])
-        self.parts[n, :-1], self.parts[n, -1] = self.model.word_logits(word)
+        ids = subwords(word, self.buckets)
+        self.parts[n, :-1], self.parts[n, -1] = self.logits_of.take(ids, axis=0).sum(axis=0), len(ids)
 
     def logits(self, text: str | None) -> np.ndarray | None:
         """None for a text without letters."""
@@ -85,12 +98,12 @@ class Reader:
 
 
 def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    out, known = [], {}
+    out, known, buckets = [], {}, Buckets()
     for t in texts:
         ids: list[int] = []
         for w in _WORD.findall(t.lower()):
             if w not in known:
-                known[w] = subwords(w)
+                known[w] = subwords(w, buckets)
             ids += known[w]
         found, n = np.unique(np.array(ids, dtype=np.int64), return_counts=True)
         out.append((found, n / max(1, n.sum())))
