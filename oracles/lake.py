@@ -41,9 +41,10 @@ ORACLES = {
                  CASE o_orderstatus WHEN 'F' THEN 'graduados' WHEN 'O' THEN 'inscritos' ELSE 'matriculados' END AS category
           FROM orders
         ), kept AS (
-          SELECT *, CASE WHEN y <= 1998 THEN y + 17 WHEN y = 1999 THEN 2018 ELSE 2013 END AS year FROM o
-          WHERE y <= 1998 AND y + 17 BETWEEN 2013 AND 2017
-             OR y = 1999 OR (y = 2000 AND category = 'graduados')
+          SELECT *, CASE WHEN y <= 1998 AND y + 17 >= 2013 THEN y + 17 WHEN y <= 1998 THEN NULL
+                         WHEN y = 1999 THEN 2018 WHEN y = 2001 THEN 2019 ELSE 2013 END AS year FROM o
+          WHERE y <= 1998 AND (category <> 'graduados' OR y + 17 BETWEEN 2013 AND 2017)
+             OR y IN (1999, 2001) OR (y = 2000 AND category = 'graduados')
         )
         SELECT category, CAST(year AS INTEGER) AS year,
                CASE WHEN o_orderkey % 4 IN (1, 2) THEN CAST(o_orderkey % 4 AS INTEGER) END AS semester,
@@ -53,6 +54,15 @@ ORACLES = {
                CAST(sum(CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE trunc(o_totalprice) END) AS BIGINT) AS total,
                count(DISTINCT o_custkey) AS n_codes
         FROM kept WHERE o_orderkey % 11 <> 0 GROUP BY ALL""",
+    "lake_append_adds": ORDERS + """
+        SELECT order_year, count(*) AS n, count(DISTINCT o_orderkey) AS n_orders FROM o GROUP BY ALL""",
+    "load_report": """
+        WITH c(s, category) AS (VALUES ('F', 'graduados'), ('O', 'inscritos'), ('P', 'matriculados')),
+        f(year) AS (VALUES ('2013'), ('2018'), ('2020')),
+        t AS (SELECT *, CASE WHEN year = '2020' THEN 'error'
+                             WHEN year = '2013' AND category <> 'graduados' THEN 'skipped' ELSE 'processed' END AS status FROM c, f)
+        SELECT category, year, status, CASE WHEN status = 'processed' THEN
+                 (SELECT count(*) FROM orders WHERE o_orderstatus = s AND o_orderkey % 11 <> 0) END AS n_rows FROM t""",
     "multi_year_range": """
         SELECT o_orderkey, CAST(year(o_orderdate) + 15 AS INTEGER) AS year, o_totalprice
         FROM orders WHERE year(o_orderdate) + 15 BETWEEN 2013 AND 2017""",

@@ -5,7 +5,7 @@ from oracles.reports import PANEL
 COMPLETE = """grad_rate IS NOT NULL AND staff_load IS NOT NULL AND growth IS NOT NULL
   AND retention IS NOT NULL AND gap IS NOT NULL AND enrolled IS NOT NULL"""
 FEATURES = ["grad_rate", "staff_load", "growth", "retention", "gap", "enrolled"]
-DIMS = [f"e{i}" for i in range(6)]
+DIMS = [f"e{i}" for i in range(64)]
 
 LABELS = """CASE {c} WHEN 0 THEN '🟢 Alta eficiencia' WHEN 1 THEN '🟡 Crecimiento acelerado'
   WHEN 2 THEN '🔴 Riesgo académico' WHEN 3 THEN '🔵 Pequeña estable' WHEN 4 THEN '🟠 Alta docencia / baja eficiencia' END"""

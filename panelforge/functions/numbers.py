@@ -49,7 +49,9 @@ def guarded_ratio(num: str | Column, den: str | Column) -> Column:
 
 
 def clip(c: str | Column, low: float, high: float) -> Column:
-    return F.greatest(F.least(col_of(c), F.lit(high)), F.lit(low))
+    """Into [low, high]; NULL stays NULL."""
+    c = col_of(c)
+    return F.when(c.isNotNull(), F.greatest(F.least(c, F.lit(high)), F.lit(low)))
 
 
 def min_max(c: str | Column, low: Column, high: Column) -> Column:

@@ -178,16 +178,16 @@ def regional_change(panel: DataFrame, first: tuple[int, int], second: tuple[int,
     means = known(panel, s.department).groupBy(s.department).agg(
         F.avg(F.when(year.between(*first), rate)).alias("rate_before"),
         F.avg(F.when(year.between(*second), rate)).alias("rate_after"))
-    change = rounded((F.col("rate_after") - F.col("rate_before")) * 100)
+    change = (F.col("rate_after") - F.col("rate_before")) * 100  # compared as it is, rounded at the end
     return (means.dropna(subset=["rate_before", "rate_after"])
             .withColumn("change_pp", change)
             .withColumn("trend", F.when(F.col("change_pp") < 0, "down").otherwise("up"))
-            .withColumns({c: rounded(F.col(c)) for c in ("rate_before", "rate_after")})
+            .withColumns({c: rounded(F.col(c)) for c in ("rate_before", "rate_after", "change_pp")})
             .orderBy("change_pp", s.department))
 
 
 def deteriorating(change: DataFrame, spec: PanelSpec = DEFAULT) -> DataFrame:
-    return (change.filter(F.col("change_pp") < 0)
+    return (change.filter(F.col("trend") == "down")
             .select(spec.department, *[F.round(F.col(c) * 100, 2).alias(f"{c}_pct")
                                        for c in ("rate_before", "rate_after")],
                     F.round("change_pp", 2).alias("change_pp"))

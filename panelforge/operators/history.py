@@ -15,6 +15,12 @@ from panelforge.sources.discovery import MULTI_YEAR, MULTI_YEAR_RANGE
 from panelforge.sources.lake import integrity_report, write_all
 
 
+#: Whose multi-year file is cut to MULTI_YEAR_RANGE.
+MULTI_YEAR_CATEGORY = "graduados"
+#: Columns that merging itself adds; no report calls them unexpected.
+METADATA = {"_category", "_source_year"}
+
+
 def union_years(frames: Iterable[DataFrame]) -> DataFrame:
     """Union by name; a column that a year lacks is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -32,12 +38,10 @@ def clean_values(df: DataFrame, category: str) -> DataFrame:
             .transform(C.apply_null_policy, S.metric_of(category)).transform(S.align_to_category, category))
 
 
-def clean_table(df: DataFrame, category: str) -> DataFrame:
-    return clean_values(canonical_columns(df, category), category)
-
-
-def wanted_years(df: DataFrame) -> DataFrame:
-    """Of the multi-year file only its chosen years."""
+def wanted_years(df: DataFrame, category: str) -> DataFrame:
+    """Of the graduates' multi-year file only its chosen years; other categories keep all rows."""
+    if S.category_of(category) != MULTI_YEAR_CATEGORY:
+        return df
     other = F.col("_source_year") != MULTI_YEAR
     return df.filter(other | F.col(S.YEAR).between(*MULTI_YEAR_RANGE))
 
@@ -55,11 +59,11 @@ def merge_tables(tables: Sequence[tuple[str, DataFrame]], category: str) -> tupl
             reports.append({**report, "status": "skipped", "reason": "pivoted"})
             continue
         named = canonical_columns(df, category)
-        reports.append({**report, "status": "processed", **S.validate(named.columns, category)})
+        reports.append({**report, "status": "processed", **S.validate([c for c in named.columns if c not in METADATA], category)})
         layouts.setdefault(frozenset(named.columns), []).append(named)
     if not layouts:
         return None, reports
-    cleaned = [clean_values(union_years(same), category).transform(wanted_years) for same in layouts.values()]
+    cleaned = [clean_values(union_years(same), category).transform(wanted_years, category) for same in layouts.values()]
     return union_years(cleaned), reports
 
 
@@ -76,13 +80,25 @@ def merge_category(spark: SparkSession, category: str, files: Sequence[tuple[str
     return merged, reports + failed
 
 
-def merge_all(spark: SparkSession, files: Mapping[str, Sequence[tuple[str, str]]]) -> dict[str, DataFrame]:
-    merged = {category: merge_category(spark, category, fs)[0] for category, fs in files.items()}
-    return {category: df for category, df in merged.items() if df is not None}
+def merge_all(spark: SparkSession, files: Mapping[str, Sequence[tuple[str, str]]]) -> tuple[dict[str, DataFrame], list[dict]]:
+    """The table of each category that has one, and the report of every file."""
+    tables, reports = {}, []
+    for category, fs in files.items():
+        df, told = merge_category(spark, category, fs)
+        reports += told
+        if df is not None:
+            tables[category] = df
+    return tables, reports
 
 
 def load_lake(spark: SparkSession, files: Mapping[str, Sequence[tuple[str, str]]], root: str,
-              mode: str = "overwrite", years: Sequence[int] | None = None) -> tuple[list[dict], DataFrame]:
-    """Prepared files to a verified lake: clean, merge, write, and report what the lake then holds."""
-    written = write_all(merge_all(spark, files), root, mode, years=years)
-    return written, integrity_report(spark, root)
+              mode: str = "overwrite", years: Sequence[int] | None = None
+              ) -> tuple[list[dict], DataFrame, list[dict]]:
+    """Prepared files to a verified lake: clean, merge and write.
+
+    Returns what was written, what the lake then holds, and for every file whether it was processed,
+    skipped or failed, with the reason; a file that cannot be read is never passed over in silence.
+    """
+    tables, reports = merge_all(spark, files)
+    written = write_all(tables, root, mode, years=years)
+    return written, integrity_report(spark, root), reports

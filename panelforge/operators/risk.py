@@ -106,14 +106,16 @@ def roc_points(scored: DataFrame, label: str, score: str = "score", model: str =
     """TPR and FPR at ``n`` even thresholds of [0, 1], a score at the threshold counting as positive.
 
     Every row falls into one of n + 1 bins, counted before the shuffle; the counts at or above a
-    threshold are a running sum over the bins.
+    threshold are a running sum over the bins. A NULL or NaN score reaches no threshold, but its row
+    stays in the totals.
     """
     last = n - 1
     s, guess = F.col(score), F.floor(F.col(score) * last).cast("int")
     # the product may round across a threshold, so the guess is checked against its neighbours
     bin_of = (F.when(s >= (guess + 1) / F.lit(last), guess + 1)
               .when(s < guess / F.lit(last), guess - 1).otherwise(guess))
-    binned = (scored.select(F.least(bin_of, F.lit(last)).alias("bin"), F.col(label).alias("_y"))
+    known = s.isNotNull() & ~F.isnan(s)
+    binned = (scored.select(F.when(known, F.least(bin_of, F.lit(last))).otherwise(F.lit(-1)).alias("bin"), F.col(label).alias("_y"))
               .groupBy("bin").agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg")))
     steps = scored.sparkSession.range(n).select(F.col("id").cast("int").alias("bin"))
     # at most n + 1 rows from here on

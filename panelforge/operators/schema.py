@@ -168,13 +168,13 @@ def columns_of(category: str) -> list[str]:
 
 
 def is_pivoted(category: str, year: str | int) -> bool:
-    return (category, str(year)) in PIVOTED
+    return (CATEGORY_SYNONYMS.get(category, category), str(year)) in PIVOTED
 
 
 def resolve(header: str, category: str | None = None) -> str:
     """Canonical name of a header; an unknown header is kept, stripped."""
     key = header_key(header)
-    scoped = SCOPED_VARIANTS.get((category, key))
+    scoped = SCOPED_VARIANTS.get((CATEGORY_SYNONYMS.get(category, category), key))
     return scoped or ALIASES.get(key) or str(header).strip()
 
 
@@ -184,12 +184,6 @@ def resolve_col(c: str | Column) -> Column:
     return F.coalesce(F.try_element_at(literal_map(ALIASES), header_key_col(c)), stripped)
 
 
-def rename_map(columns: Iterable[str], category: str | None = None) -> dict[str, str]:
-    """Only the headers whose name changes."""
-    resolved = {c: resolve(c, category) for c in columns}
-    return {c: name for c, name in resolved.items() if c != name}
-
-
 def _quoted(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 

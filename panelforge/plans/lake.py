@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.numbers import to_int
 from panelforge.operators import schema as S
-from panelforge.operators.history import merge_category, union_years
+from panelforge.operators.history import merge_all, merge_category, union_years
 from panelforge.plans import driver_tables as D
 from panelforge.session import shared_dir
 from panelforge.sources import delimited, lake, reports
@@ -63,15 +63,45 @@ def lake_multi_read(spark, sf_dir):
 
 
 def lake_append_idempotent(spark, sf_dir):
-    """Load all but the last year, append it twice: the lake holds it once."""
+    """Load all but the last year, put it in twice by replacing: the lake holds it once."""
     root, orders = shared_dir(spark, "lake"), orders_by_year(spark, sf_dir)
     lake.write_category(orders.filter(F.col(YEAR) < 2001), root, "orders", year=YEAR)
     for _ in range(2):
-        lake.write_category(orders, root, "orders", mode="append", year=YEAR, years=[2001])
+        lake.write_category(orders, root, "orders", mode="replace_years", year=YEAR, years=[2001])
     return (lake.read_category(spark, root, "orders", year=YEAR).groupBy(YEAR)
             .agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("n_orders")))
 
 
+def lake_append_adds(spark, sf_dir):
+    """A year delivered in two parts, each appended: the lake holds both."""
+    root, orders = shared_dir(spark, "lake"), orders_by_year(spark, sf_dir)
+    for part in range(2):
+        lake.write_category(orders.filter(F.col("o_orderkey") % 2 == part), root, "orders", mode="append", year=YEAR)
+    return (lake.read_category(spark, root, "orders", year=YEAR).groupBy(YEAR)
+            .agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("n_orders")))
+
+
+def load_report(spark, sf_dir):
+    """What became of three files of each category: one good, one pivoted or good, one unreadable."""
+    orders, root = D.table(spark, sf_dir, "orders"), shared_dir(spark, "prepared")
+    files = {}
+    for status, category in STATUS_CATEGORY.items():
+        mine, files[category] = orders.filter(F.col("o_orderstatus") == status), []
+        for name in ("2013", "2018", "2020"):
+            path = f"{root}/{category}/year={name}"
+            if name == "2020":  # no table: text where Parquet is expected
+                mine.select(F.col("o_orderkey").cast("string")).write.text(path)
+            else:
+                _dirty_year(mine, category, int(name), 17).write.parquet(path)
+            files[category].append((name, path))
+    tables, reports = merge_all(spark, files)
+    told = spark.createDataFrame([(r["category"], r["year"], r["status"]) for r in reports],
+                                 "category string, year string, status string")
+    counts = [df.groupBy(F.lit(c).alias("category"), F.col("_source_year").alias("year")).agg(F.count("*").alias("n_rows"))
+              for c, df in tables.items()]
+    return told.join(union_years(counts), ["category", "year"], "left").select("category", "year", "status", "n_rows")
+
+
 def csv_roundtrip(spark, sf_dir):
     path = shared_dir(spark, "csv")
     delimited.write_csv(D.ratios_panel(spark, sf_dir), path)
@@ -147,7 +177,7 @@ def historical_merge(spark, sf_dir):
     for status, category in STATUS_CATEGORY.items():
         mine = orders.filter(F.col("o_orderstatus") == status)
         parts = {"2001_2017": (None, F.year("o_orderdate") <= 1998), "2018": (2018, F.year("o_orderdate") == 1999),
-                 "2013": (2013, F.year("o_orderdate") == 2000)}
+                 "2013": (2013, F.year("o_orderdate") == 2000), "2019": (2019, F.year("o_orderdate") == 2001)}
         tables = []
         for name, (year, condition) in parts.items():
             path = f"{root}/{category}/year={name}"
@@ -177,6 +207,8 @@ def queries() -> dict:
         "lake_integrity": lake_integrity,
         "lake_multi_read": lake_multi_read,
         "lake_append_idempotent": lake_append_idempotent,
+        "lake_append_adds": lake_append_adds,
+        "load_report": load_report,
         "csv_roundtrip": csv_roundtrip,
         "csv_latin1_positional": csv_latin1_positional,
         "report_json": report_json,

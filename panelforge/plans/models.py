@@ -14,7 +14,7 @@ from panelforge.plans import driver_tables as D
 from panelforge.session import stage
 
 FEATURES = DEFAULT.cluster_features
-DIMENSIONS = [f"e{i}" for i in range(6)]
+DIMENSIONS = [f"e{i}" for i in range(64)]
 GIVEN_LABELS = {0: K.EFFICIENT, 1: K.GROWING, 2: K.AT_RISK, 3: K.STABLE, 4: K.LOADED}
 
 
@@ -156,7 +156,7 @@ def model_comparison(spark, sf_dir):
 
 
 def risk_predictions(spark, sf_dir):
-    return _study(spark, sf_dir, models=("RandomForest", "LogisticRegression")).predictions()
+    return _study(spark, sf_dir).predictions()
 
 
 def feature_importance(spark, sf_dir):
@@ -164,7 +164,7 @@ def feature_importance(spark, sf_dir):
 
 
 def model_roc(spark, sf_dir):
-    return _study(spark, sf_dir, models=("RandomForest", "LogisticRegression")).roc()
+    return _study(spark, sf_dir).roc()
 
 
 def queries() -> dict:

@@ -6,41 +6,47 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.operators import schema as S
 
 
+MODES = ("overwrite", "append", "replace_years")
+FIRST_YEAR = 1850
+
+
 def write_category(df: DataFrame, root: str, category: str, mode: str = "overwrite",
                    year: str = S.YEAR, years: Sequence[int] | None = None) -> dict:
     """Write one category and report rows and years of what it wrote.
 
-    ``overwrite`` replaces the category; ``append`` replaces only the years that ``df`` holds, so
-    loading a year twice leaves it once. Rows are rebalanced by year before the write: a small year
-    becomes one file, and a year with a third of all rows is split over several tasks. The report
-    reads back the counts that Parquet footers hold, not the data.
+    ``overwrite`` replaces the category; ``append`` adds rows to what the lake holds; ``replace_years``
+    replaces only the years that ``df`` holds, so loading a year twice leaves it once. Rows are
+    rebalanced by year before the write: a small year becomes one file, and a year with a third of all
+    rows is split over several tasks. The write itself observes the counts of the report, so an empty
+    table reports 0 rows and nothing is read back.
     """
-    if mode not in ("overwrite", "append"):
-        raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
-    spark, path = df.sparkSession, f"{root}/{category}"
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {', '.join(MODES)}, not {mode!r}")
+    path = f"{root}/{category}"
     if year not in df.columns:
         return {"category": category, "path": path, "status": "error", "n_rows": None,
                 "n_years": None, "error": f"no column {year}"}
     rows = S.drop_metadata(df)
     if years is not None:
         rows = rows.filter(F.col(year).isin(list(years)))
-    (rows.hint("rebalance", F.col(year)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static" if mode == "overwrite" else "dynamic")
+    seen = Observation()
+    # a bit for each of the years from FIRST_YEAR on
+    bits = [F.bit_or(F.when((F.col(year) >= low) & (F.col(year) < low + 60),
+                            F.expr(f"shiftleft(1L, cast(`{year}` as int) - {low})"))).alias(f"y{low}")
+            for low in range(FIRST_YEAR, FIRST_YEAR + 300, 60)]
+    (rows.observe(seen, F.count("*").alias("n"), *bits).hint("rebalance", F.col(year))
+     .write.mode("append" if mode == "append" else "overwrite")
+     .option("partitionOverwriteMode", "dynamic" if mode == "replace_years" else "static")
      .partitionBy(year).parquet(path))
-    held = spark.read.parquet(path)
-    if mode == "append":
-        touched = years if years is not None else [r[0] for r in rows.select(year).distinct().collect()]
-        held = held.filter(F.col(year).isin([y for y in touched if y is not None])
-                           | (F.col(year).isNull() if None in touched else F.lit(False)))
-    counts = held.groupBy(year).count().collect()  # a row per year
-    return {"category": category, "path": path, "status": "success", "error": None,
-            "n_rows": sum(c["count"] for c in counts), "n_years": sum(c[year] is not None for c in counts)}
+    got = seen.get
+    return {"category": category, "path": path, "status": "success", "error": None, "n_rows": got["n"],
+            "n_years": sum((got[k] or 0).bit_count() for k in got if k != "n")}
 
 
 def write_all(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite", year: str = S.YEAR,

@@ -101,7 +101,7 @@ def test_merge_tables(spark):
         ("1", "Femenino", 1, 2018, None, 1200),
         ("2", "DESCONOCIDO", None, 2018, None, 0),
         ("3", "Masculino", 2, 2019, "Oficial", 12),
-        ("5", "Femenino", 1, 2014, None, 1),
+        ("4", "Femenino", 1, None, None, 1), ("5", "Femenino", 1, 2014, None, 1),
     ]
     assert [r["status"] for r in reports] == ["processed", "processed", "skipped", "processed"]
 

@@ -103,7 +103,7 @@ def test_lake_round_trip_and_idempotent_append(spark):
     assert (done["status"], done["n_rows"], done["n_years"]) == ("success", 4, 2)
     more = spark.createDataFrame([(9, 2014, 1), (8, 2015, 1)], f"v int, `{S.YEAR}` int, extra int")
     for _ in range(2):
-        done = lake.write_category(more, root, "inscritos", mode="append")
+        done = lake.write_category(more, root, "inscritos", mode="replace_years")
         assert (done["n_rows"], done["n_years"]) == (2, 2)
     held = lake.read_category(spark, root, "inscritos")
     assert sorted(held.columns) == sorted(["v", "extra", S.YEAR])
@@ -143,15 +143,31 @@ def test_load_lake_from_prepared_files(spark):
                                "`Código SNIES del programa` string, sexo string, semestre string, inscritos string")
          .write.parquet(f"{src}/{year}"))
     files = {"inscritos": [(y, f"{src}/{y}") for y in ("2018", "2019", "2020")]}  # 2020 is not there
-    written, report = H.load_lake(spark, files, root)
+    written, report, told = H.load_lake(spark, files, root)
+    assert sorted((r["year"], r["status"]) for r in told) == [("2018", "processed"), ("2019", "processed"), ("2020", "error")]
+    assert all(r["reason"] for r in told if r["status"] == "error")
     assert [(w["status"], w["n_rows"]) for w in written] == [("success", 2)]
     assert rows(report) == [("inscritos", "ok", 2, "2018,2019", 2)]
-    H.load_lake(spark, files, root, mode="append", years=[2019])
+    H.load_lake(spark, files, root, mode="replace_years", years=[2019])
     assert rows(lake.integrity_report(spark, root)) == [("inscritos", "ok", 2, "2018,2019", 2)]
     _, reports = H.merge_category(spark, "inscritos", files["inscritos"])
     assert sorted(r["status"] for r in reports) == ["error", "processed", "processed"]
 
 
+def test_append_adds_and_empty_tables_report_nothing(spark):
+    root = shared_dir(spark, "lake")
+    df = spark.createDataFrame([(1, 2020)], f"v int, `{S.YEAR}` int")
+    assert lake.write_category(df.where("false"), root, "admitidos")["n_rows"] == 0
+    for _ in range(2):
+        assert lake.write_category(df, root, "inscritos", mode="append")["n_rows"] == 1
+    assert lake.read_category(spark, root, "inscritos").count() == 2
+
+
+def test_only_graduates_lose_years_of_the_multi_year_file(spark):
+    df = spark.createDataFrame([("2001_2017", 2012), ("2001_2017", 2014), ("2018", 2018)], f"_source_year string, `{S.YEAR}` int")
+    assert H.wanted_years(df, "inscritos").count() == 3 and H.wanted_years(df, "graduados").count() == 2
+
+
 def test_export_by_position(spark):
     path = shared_dir(spark, "csv")
     df = spark.createDataFrame([("7", "p", "Núñez", "1.5", "2013"), ("x", "p", "b", "", "n/a")], "`CËD` string, b string, c string, m string, `AÐO` string")
