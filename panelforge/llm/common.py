@@ -31,6 +31,24 @@ def hashed(text: str, seed: int = 0) -> int:
     return zlib.crc32(text.encode("utf-8", "surrogatepass"), seed)
 
 
+def fetched(rows: DataFrame, ids: DataFrame) -> list:
+    """On the driver, one row (the least) of each of the few ``ids``, in an order that only ids decide.
+
+    Only rows of those ids leave the executors, one for each, however often an id is repeated and
+    however many tasks there are.
+    """
+    others = [c for c in rows.columns if c != "doc_id"]
+    one = (rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("r"))
+           .select("doc_id", "r.*").collect())
+    return sorted(one, key=lambda r: (hashed(str(r.doc_id)), r.doc_id))
+
+
+def drawn(rows: DataFrame, n: int) -> list:
+    """At most ``n`` documents drawn by a hash of doc_id; the draw moves ids, not texts."""
+    ids = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    return fetched(rows, ids)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, n_folds: int, held_fold: int,
                     per_class: tuple[int, int]) -> list[tuple[str, int]]:
     """At most ``per_class`` texts of labels 0 and 1, outside the held-out fold, for fitting on the driver.
@@ -43,14 +61,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, n_folds: int
     known = (labels.select("doc_id", F.col(label).cast("int").alias("y"))
              .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & (fold(F.col("doc_id"), n_folds) != held_fold))
              .groupBy("doc_id").agg(F.min("y").alias("y")))
-    drawn = None
+    ids = None
     for y in (0, 1):
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class[y])
-        drawn = part if drawn is None else drawn.unionByName(part)
-    texts = (docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-             .join(F.broadcast(drawn), "doc_id"))
-    rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sum(per_class)).collect()
-    return [(r.text, r.y) for r in rows]
+        ids = part if ids is None else ids.unionByName(part)
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
+    label_of = {r.doc_id: r.y for r in ids.collect()}
+    return [(r.text, label_of[r.doc_id]) for r in fetched(texts, ids.select("doc_id"))]
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

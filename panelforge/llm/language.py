@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import SAMPLE_CHARS, WordCache, fold, hashed, temperature
+from panelforge.llm.common import SAMPLE_CHARS, WordCache, drawn, fold, hashed, temperature
 
 BUCKETS, DIM = 1 << 14, 16
 #: Bound of the sample that is fitted on, over all languages.
@@ -160,11 +160,10 @@ def fit(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 2.0, seed:
 
 def train(docs: DataFrame, n_folds: int = 3, held_fold: int = 1, sample: int = SAMPLE) -> LanguageModel:
     """Fitted on at most ``sample`` documents with a language, outside the held-out fold, drawn by hash."""
-    drawn = (docs.select("doc_id", "text", "lang")
-             .where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
-                    & (F.length("text") <= SAMPLE_CHARS) & (fold(F.col("doc_id"), n_folds) != held_fold))
-             .orderBy(F.xxhash64("doc_id"), "doc_id", "text", "lang").limit(sample).collect())
-    return fit([(r.text, r.lang) for r in drawn])
+    rows = (docs.select("doc_id", "text", "lang")
+            .where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
+                    & (F.length("text") <= SAMPLE_CHARS) & (fold(F.col("doc_id"), n_folds) != held_fold)))
+    return fit([(r.text, r.lang) for r in drawn(rows, sample)])
 
 
 def predictions(text: Column, model: LanguageModel) -> Column:

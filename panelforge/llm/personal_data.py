@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import SAMPLE_CHARS, fold
+from panelforge.llm.common import SAMPLE_CHARS, drawn, fold
 
 KINDS = ("email", "ip", "card", "phone", "secret")  # the rules know all but the last
 WIDTH, STRIDE, AROUND = 64, 32, 24
@@ -263,11 +263,10 @@ def fit(texts: list[str], epochs: int = 6, batch: int = 64, seed: int = 3) -> Ta
 
 def train(docs: DataFrame, n_folds: int = 3, held_fold: int = 1, sample: int = SAMPLE) -> Tagger:
     """Fitted on at most ``sample`` documents with a digit or an at sign, drawn by a hash of doc_id."""
-    drawn = (docs.select("doc_id", "text").where(
+    rows = docs.select("doc_id", "text").where(
         F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= SAMPLE_CHARS)
         & F.col("text").rlike("[0-9@]") & (fold(F.col("doc_id"), n_folds) != held_fold))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).collect())
-    return fit([r.text for r in drawn])
+    return fit([r.text for r in drawn(rows, sample)])
 
 
 def plausible(kind: str, piece: str) -> bool:
