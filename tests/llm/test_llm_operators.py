@@ -1,5 +1,6 @@
 """Each operator on awkward rows, against plain versions, and on held-out labels."""
 
+import random
 import re
 
 import pytest
@@ -9,6 +10,7 @@ import corpus_pipeline
 from panelforge.llm import (decontamination, fertility, language, mixing, paragraphs, personal_data, quality,
                             toxicity, urls)
 from panelforge.llm.common import table
+from panelforge.llm.components import components
 from panelforge.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -156,6 +158,39 @@ def test_repeated_paragraphs(spark):
     assert paragraphs.repeats(docs.where("false")).count() == 0
 
 
+def test_matches_of_a_large_band_are_those_of_brute_force(spark):
+    """Families of edited copies, most of them too far from each other, in one band."""
+    rng, base = random.Random(5), [[f"b{k}w{i}" for i in range(48)] for k in range(2)]
+    texts = set()
+    for k in range(2):
+        for _ in range(150):
+            words = list(base[k])
+            for _ in range(rng.choice([0, 1, 1, 2, 3])):
+                i = rng.randrange(len(words))
+                words[i:i + 1] = rng.choice([[], [f"n{rng.randrange(400)}"], [words[i], f"n{rng.randrange(4)}"]])
+            texts.add(" ".join(words))
+    texts = sorted(texts)
+    sets = [set(paragraphs.shingle_hashes(t).tolist()) for t in texts]
+    reach = list(range(len(texts)))
+
+    def root(i):
+        while reach[i] != i:
+            i = reach[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) / len(a | sets[j]) >= 0.8:
+                reach[max(root(i), root(j))] = min(root(i), root(j))
+    frame = spark.createDataFrame([(1, bytes([i // 256, i % 256]), len(texts), t) for i, t in enumerate(texts)],
+                                  "key long, cls binary, n long, para string")
+    edges = paragraphs.matches(frame.drop("para"), frame.select("cls", "para"), 0.8)
+    group = {r.node: r.component for r in components(edges).collect()}
+    name = lambda i: bytes([i // 256, i % 256])
+    assert [group.get(name(i), name(i)) for i in range(len(texts))] == [name(root(i)) for i in range(len(texts))]
+    assert edges.distinct().count() < len(texts) * 8
+
+
 def test_grammar_weighs_how_a_word_is_used():
     model = toxicity.ToxicityModel({"blork": 3.0})
     read = lambda t: toxicity.Reader(model).read(t).tolist()
