@@ -158,6 +158,14 @@ def test_repeated_paragraphs(spark):
     assert paragraphs.repeats(docs.where("false")).count() == 0
 
 
+def test_paragraphs_of_awkward_rows(spark, awkward):
+    """NULL, empty and very long texts, repeated rows, NULL ids and clashing column names."""
+    docs = awkward.selectExpr("doc_id", "text", "source as cls", "quality as key", "source as para", "1 as n")
+    found = [tuple(r) for r in paragraphs.repeats(docs.unionByName(docs.selectExpr(
+        "doc_id + 10 as doc_id", "text", "cls", "key", "para", "n"))).collect()]
+    assert sorted(found) == [(4, 0, 4, 0, True), (5, 0, 5, 0, True), (14, 0, 4, 0, False), (15, 0, 5, 0, False)]
+
+
 def test_matches_of_a_large_band_are_those_of_brute_force(spark):
     """Families of edited copies, most of them too far from each other, in one band."""
     rng, base = random.Random(5), [[f"b{k}w{i}" for i in range(48)] for k in range(2)]
