@@ -38,9 +38,9 @@ SHEETS = r"""WITH tx AS (
 ), recs AS (
   SELECT doc_id, r FROM body GROUP BY ALL HAVING count(value) > 0
 ), sizes AS (
-  SELECT head.doc_id, header_row, coalesce(nc, 0) AS n_columns, coalesce(nr, 0) AS n_records, coalesce(fn, '') AS first_names
+  SELECT head.doc_id, header_row, coalesce(nc, 0) AS n_columns, coalesce(nr, 0) AS n_records, coalesce(fn, '') AS names
   FROM head
-  LEFT JOIN (SELECT doc_id, count(*) AS nc, array_to_string(list_slice(list(name ORDER BY pos), 1, 3), '|') AS fn
+  LEFT JOIN (SELECT doc_id, count(*) AS nc, array_to_string(list(name ORDER BY pos), '|') AS fn
              FROM names GROUP BY doc_id) USING (doc_id)
   LEFT JOIN (SELECT doc_id, count(*) AS nr FROM recs GROUP BY doc_id) USING (doc_id)
 ), prepared AS (
@@ -88,10 +88,15 @@ ORACLES = {
           EXCEPT SELECT l_linestatus, year(l_shipdate) FROM lineitem WHERE year(l_shipdate) <= 1998)""",
     "header_row": SHEETS + "SELECT doc_id, header_row, score, density FROM head",
     "data_sheet": SHEETS + "SELECT source, lang, doc_id, score, n_sheets FROM best",
-    "promote_header": SHEETS + "SELECT doc_id, status, header_row, n_columns, n_records, first_names FROM prepared",
+    "promote_header": SHEETS + "SELECT doc_id, status, header_row, n_columns, n_records, names FROM prepared",
     "sheet_records": SHEETS + """
         SELECT doc_id, name, count(*) AS n_cells, count(value) AS n_values
         FROM body JOIN recs USING (doc_id, r) JOIN prepared USING (doc_id) WHERE status = 'success' GROUP BY ALL""",
+    "quoted_sheets": """
+        SELECT CAST(p_partkey AS VARCHAR) AS key,
+               CASE p_partkey % 4 WHEN 0 THEN p_name || ';' || p_type WHEN 1 THEN p_name || chr(10) || p_type
+                                  WHEN 2 THEN p_name || ' "' || p_type || '"' ELSE p_name END AS name,
+               CAST(p_size AS VARCHAR) AS size, CAST(NULL AS VARCHAR) AS empty, '5" x' AS plain, p_brand FROM part""",
     "repatch_languages": SHEETS + """
         , chosen AS (
           SELECT source, lang, min(doc_id) AS doc_id FROM documents WHERE lang <> 'en' GROUP BY ALL

@@ -96,6 +96,19 @@ def test_line_score_counts_cells(spark):
     assert got == brute_score(text, ["ies", "area", "docentes"], ["ano"])
 
 
+def test_quoted_cells(spark):
+    text = ('Título;"abierto\n"Código de \nla Institución";"Departamento; IES";Sexo;Semestre;Inscritos\n'
+            '"1";"a;b";"x\r\ny";"dice ""no""";""\n;"";;;\n2;5" x;"mal"z;q;7')
+    done = grids.promote_header(spark.createDataFrame([("f", text), ("n", None), ("e", "")], "file string, text string"), ";")
+    got = {r["file"]: r for r in done.collect()}
+    assert got["f"]["header_row"] == 1 and got["f"]["status"] == "success"
+    assert got["f"]["columns"] == ["Código de \nla Institución", "Departamento; IES", "Sexo", "Semestre", "Inscritos"]
+    assert got["f"]["records"] == [["1", "a;b", "x\r\ny", 'dice "no"', ""], ["2", '5" x', '"mal"z', "q", "7"]]
+    assert got["n"]["status"] == got["e"]["status"] == "skipped_empty"
+    plain = grids.promote_header(spark.createDataFrame([('ies;"a;b";c;d;e\n1;2;3;4;5;6',)], "text string"), ";", quote=None)
+    assert plain.first()["n_columns"] == 6
+
+
 def test_lake_round_trip_and_idempotent_append(spark):
     root = shared_dir(spark, "lake")
     df = spark.createDataFrame([(1, 2013, "x"), (2, 2013, "x"), (3, 2014, "x"), (4, None, "x")], f"v int, `{S.YEAR}` int, _m string")
