@@ -23,7 +23,64 @@ PROFILE = "WITH v AS (SELECT label AS cluster, " + ", ".join(
 ), p AS (SELECT cluster, """ + ", ".join(f"avg({c}) AS avg_{c}" for c in DIMS) + """ FROM v GROUP BY cluster)
 """
 
+SCALED = ENTITIES + ", z AS (SELECT entity_id, cluster, " + ", ".join(
+    f"({c} - (SELECT avg({c}) FROM ent)) / (SELECT stddev_samp({c}) FROM ent) AS {c}" for c in FEATURES) + " FROM ent)"
+
+#: Ties count half: mid-ranks of the rows of class 1.
+AUC = """(sum(mid) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0)
+  / (count(*) FILTER (y = 1) * count(*) FILTER (y = 0))"""
+SHARE = PANEL + """
+, sc AS (SELECT sector, gap, at_risk AS y, round(1 - retention, 2) AS s FROM labelled
+         WHERE retention IS NOT NULL AND at_risk IS NOT NULL)
+"""
+
+
+def mid_ranks(over: str) -> str:
+    return f"""SELECT *, rank() OVER ({over} ORDER BY s) + (count(*) OVER ({'PARTITION BY s' if not over else over + ', s'}) - 1) / 2.0 AS mid
+               FROM sc"""
+
+
+def power(matrix: str, to: str, steps: int) -> str:
+    """CTEs that square a symmetric matrix (i, j, v) so often, scaled to trace 1: its leading projector is left."""
+    out, last = "", matrix
+    for k in range(steps):
+        out += f""", {to}{k}_raw AS (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM {last} a JOIN {last} b ON a.j = b.i GROUP BY ALL)
+            , {to}{k} AS (SELECT i, j, v / (SELECT sum(v) FROM {to}{k}_raw WHERE i = j) AS v FROM {to}{k}_raw)"""
+        last = f"{to}{k}"
+    return out
+
+
+MATRIX = ", c AS (" + " UNION ALL ".join(
+    f"SELECT {i} AS i, {j} AS j, covar_samp({a}, {b}) AS v FROM z" for i, a in enumerate(FEATURES)
+    for j, b in enumerate(FEATURES)) + ")"
+
 ORACLES = {
+    "silhouette_given": SCALED + f"""
+        , d AS (SELECT a.entity_id, a.cluster, b.cluster AS other, count(*) AS n,
+                       sum({" + ".join(f"(a.{c} - b.{c}) ** 2" for c in FEATURES)}) AS far FROM z a, z b GROUP BY ALL)
+        , p AS (SELECT entity_id, max(n) FILTER (cluster = other) AS own,
+                       sum(far) FILTER (cluster = other) / nullif(max(n) FILTER (cluster = other) - 1, 0) AS inner_far,
+                       min(far / n) FILTER (cluster <> other) AS outer_far FROM d GROUP BY entity_id)
+        SELECT round(avg(CASE WHEN own = 1 THEN 0 ELSE (outer_far - inner_far) / greatest(outer_far, inner_far) END), 6)
+               AS silhouette FROM p""",
+    "kmeans_sums": ENTITIES + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count(*) AS n, round(var_pop({c}), 6) AS mean_square FROM ent" for c in FEATURES),
+    "pca_moments": SCALED + MATRIX + power("c", "p", 9) + """
+        , one AS (SELECT sum(c.v * p8.v) AS v FROM c JOIN p8 ON c.i = p8.j AND c.j = p8.i)
+        , rest AS (SELECT c.i, c.j, c.v - (SELECT v FROM one) * p8.v AS v FROM c JOIN p8 USING (i, j))
+        """ + power("rest", "q", 9) + """
+        , two AS (SELECT sum(rest.v * q8.v) AS v FROM rest JOIN q8 ON rest.i = q8.j AND rest.j = q8.i)
+        SELECT round(one.v, 6) AS var_1, round(two.v, 6) AS var_2, 0.0::DOUBLE AS covariance FROM one, two""",
+    "auc_given": SHARE + f"SELECT round({AUC}, 6) AS auc FROM ({mid_ranks('')})",
+    "comparison_given": SHARE + f"""
+        , m AS (SELECT sector AS model, {AUC} AS auc, count(*) AS n, count(*) FILTER (y = 1 AND gap > 1500) AS tp,
+                       count(*) FILTER (y = 0 AND gap > 1500) AS fp, count(*) FILTER (y = 1 AND NOT gap > 1500) AS fn,
+                       count(*) FILTER (y = 0 AND NOT gap > 1500) AS tn
+                FROM ({mid_ranks('PARTITION BY sector')}) GROUP BY sector)
+        , f AS (SELECT *, CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) AS f1, CAST(2 * tn AS DOUBLE) / (2 * tn + fp + fn) AS f0 FROM m)
+        SELECT model, row_number() OVER (ORDER BY auc DESC, model) = 1 AS best, round(auc, 6) AS auc_roc,
+               round(CAST(tp + tn AS DOUBLE) / n, 6) AS accuracy, round((f1 * (tp + fn) + f0 * (tn + fp)) / n, 6) AS f1_score,
+               round(f1, 6) AS f1_positive FROM f""",
     "standardise": ENTITIES + "SELECT entity_id, " + ", ".join(
         f"round(({c} - (SELECT avg({c}) FROM ent)) / (SELECT stddev_samp({c}) FROM ent), 6) AS z_{c}"
         for c in FEATURES) + " FROM ent",

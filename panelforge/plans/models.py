@@ -83,8 +83,33 @@ def _given_clusters(spark, sf_dir):
 
 
 def cluster_sector_crosstab(spark, sf_dir):
-    regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-    return K.crosstab(_given_clusters(spark, sf_dir), "cluster", "sector", regions)
+    return K.crosstab(stage(_given_clusters(spark, sf_dir), "given"), "cluster", "sector")
+
+
+def silhouette_given(spark, sf_dir):
+    """Silhouette of given clusters on the scaled features, as the sweep measures those that it fits."""
+    scaled = _scaled(spark, sf_dir).withColumn("cluster", (F.col("entity_id") % 5).cast("int"))
+    return spark.createDataFrame([(round(K.silhouette(scaled), 6),)], "silhouette double")
+
+
+def kmeans_sums(spark, sf_dir):
+    """Per feature, entities and the squares within and between the clusters found: together those of all entities."""
+    rows = stage(K.segment(D.lagged_panel(spark, sf_dir), k=5).clusters, "clusters")
+    groups = rows.groupBy("cluster").agg(F.count("*").alias("n"), *[f(c).alias(f"{n}_{c}") for c in FEATURES
+                                                                   for n, f in (("avg", F.avg), ("var", F.var_pop))])
+    means = rows.agg(*[F.avg(c).alias(f"all_{c}") for c in FEATURES])
+    both = groups.select("*", *[means.select(f"all_{c}").scalar().alias(f"all_{c}") for c in FEATURES])
+    sums = both.agg(F.sum("n").alias("n"), *[F.sum(F.col("n") * (F.col(f"var_{c}") + F.pow(F.col(f"avg_{c}") - F.col(f"all_{c}"), 2)))
+                                             .alias(c) for c in FEATURES])
+    long = sums.unpivot("n", FEATURES, "feature", "squares")
+    return long.select("feature", "n", A.rounded(F.col("squares") / F.col("n")).alias("mean_square"))
+
+
+def pca_moments(spark, sf_dir):
+    """Variances of both components and their covariance, which is none: the two largest eigenvalues of the features."""
+    at = pca_coords(spark, sf_dir)
+    return at.agg(A.rounded(F.var_samp("PC1")).alias("var_1"), A.rounded(F.var_samp("PC2")).alias("var_2"),
+                  F.abs(A.rounded(F.covar_samp("PC1", "PC2"))).alias("covariance"))
 
 
 def largest_entities(spark, sf_dir):
@@ -124,6 +149,27 @@ def roc_points(spark, sf_dir):
     return R.roc_points(scored, "at_risk", model="share")
 
 
+def _share_scored(spark, sf_dir):
+    """The label with a given score that has ties."""
+    rows = D.labelled_panel(spark, sf_dir).filter(F.col("retention").isNotNull() & F.col("at_risk").isNotNull())
+    return rows.withColumn("rawPrediction", F.round(1 - F.col("retention"), 2))
+
+
+def auc_given(spark, sf_dir):
+    """Area under the ROC curve of a given score."""
+    area = R.area_under_roc(stage(_share_scored(spark, sf_dir), "scored"), "at_risk")
+    return spark.createDataFrame([(round(area, 6),)], "auc double")
+
+
+def comparison_given(spark, sf_dir):
+    """Comparison and winner of five given models, the sectors, by the AUC of one score in each."""
+    rows = stage(_share_scored(spark, sf_dir).withColumn("prediction", (F.col("gap") > 1500).cast("int")), "scored")
+    names = [r[0] for r in rows.select("sector").distinct().orderBy("sector").collect()]  # a handful
+    study = R.RiskStudy(DEFAULT, metrics=[R.evaluate(rows.filter(F.col("sector") == n), n, "at_risk") for n in names])
+    return study.comparison(spark).select("model", "best", *[
+        A.rounded(F.col(c)).alias(c) for c in ("auc_roc", "accuracy", "f1_score", "f1_positive")])
+
+
 def confusion_counts(spark, sf_dir):
     guessed = D.labelled_panel(spark, sf_dir).withColumn("prediction", (F.col("gap") > 1500).cast("int"))
     return R.rates(R.confusion(guessed, "at_risk"))
@@ -183,6 +229,11 @@ def queries() -> dict:
         "temporal_split": temporal_split,
         "encode_categories": encode_categories,
         "roc_points": roc_points,
+        "silhouette_given": silhouette_given,
+        "kmeans_sums": kmeans_sums,
+        "pca_moments": pca_moments,
+        "auc_given": auc_given,
+        "comparison_given": comparison_given,
         "confusion_counts": confusion_counts,
         "risk_by_dept": risk_by_dept,
         "risk_ranking": risk_ranking,

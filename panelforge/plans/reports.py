@@ -139,7 +139,7 @@ def queries() -> dict:
         "national_evolution": lambda s, d: A.national_evolution(D.ratios_panel(s, d)),
         "national_extrema": national_extrema,
         "top10_entities": lambda s, d: A.top_entities(D.ratios_panel(s, d)),
-        "dept_year_pivot": lambda s, d: A.department_years(D.ratios_panel(s, d), D.YEARS),
+        "dept_year_pivot": lambda s, d: A.department_years(D.staged_ratios(s, d)),
         "top_department_rows": top_department_rows,
         "load_efficiency_fit": load_efficiency_fit,
         "load_trend_line": load_trend_line,
