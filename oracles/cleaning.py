@@ -113,9 +113,10 @@ ORACLES = {
         FROM f""",
     "file_profile": """
         SELECT o_orderstatus AS category, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_rows,
-               CAST(3 AS BIGINT) AS n_cols, 'CÓDIGO SNIES DEL PROGRAMA|INSCRITOS|Cliente' AS columns,
-               'Cliente' AS non_canonical, 'ok' AS status
-        FROM orders GROUP BY 1, 2""",
+               CASE k WHEN 2 THEN 'error' ELSE 'ok' END AS status, CAST([3, 2, 0][k + 1] AS BIGINT) AS n_cols,
+               ['CÓDIGO SNIES DEL PROGRAMA|INSCRITOS|Cliente', 'Nota, libre|CÓDIGO SNIES DEL PROGRAMA', ''][k + 1] AS columns,
+               ['Cliente', 'Nota, libre', ''][k + 1] AS non_canonical
+        FROM (SELECT *, year(o_orderdate) % 3 AS k FROM orders) GROUP BY 1, 2, k""",
     "status_summary": SHEETS + """
         SELECT lang, status, count(*) AS n_files, CAST(sum(n_records) AS BIGINT) AS total_rows
         FROM prepared JOIN documents USING (doc_id) GROUP BY ALL""",

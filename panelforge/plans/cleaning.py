@@ -165,19 +165,22 @@ def schema_validation(spark, sf_dir):
 
 
 def file_profile(spark, sf_dir):
-    """Prepared files in ``<category>/year=<year>`` folders: rows, columns and headers off the schema."""
+    """Prepared files in ``<category>/<year>`` folders, whose headers differ: some short, some undecodable."""
     root = shared_dir(spark, "prepared")
     rows = D.table(spark, sf_dir, "orders").withColumns({"category": F.col("o_orderstatus"), "year": F.year("o_orderdate")})
-    (rows.select("category", "year", F.col("o_orderkey").alias("Código SNIES del  programa"),
-                 F.col("o_totalprice").alias("inscripciones 2017"), F.col("o_custkey").alias("Cliente"))
-     .hint("rebalance", "category", "year").write.partitionBy("category", "year").option("header", True).csv(root))
-    read = spark.read.option("header", True).csv(root)
-    names = [c for c in read.columns if c not in ("category", "year")]
-    odd = [c for c in names if S.header_key(c) not in S.ALIASES]
-    return (read.groupBy("category", "year").agg(F.count("*").alias("n_rows"))
-            .withColumns({"n_cols": F.lit(len(names)).cast("bigint"),
-                          "columns": F.lit("|".join(S.resolve(c) for c in names)),
-                          "non_canonical": F.lit("|".join(odd)), "status": F.lit("ok")}))
+    programme, metric = F.col("o_orderkey").alias("Código SNIES del  programa"), F.col("o_totalprice").alias("inscripciones 2017")
+    layouts = {"long": (rows.filter("year % 3 = 0"), [programme, metric, F.col("o_custkey").alias("Cliente")], "UTF-8"),
+               "short": (rows.filter("year % 3 = 1"), [F.col("o_orderpriority").alias("Nota, libre"), programme], "UTF-8"),
+               "latin": (rows.filter("year % 3 = 2"), [programme, metric], "ISO-8859-1")}
+    for name, (some, columns, encoding) in layouts.items():
+        (some.select("category", "year", *columns).repartition("category", "year").write.partitionBy("category", "year")
+         .option("header", True).option("encoding", encoding).csv(f"{root}/{name}"))
+    found = P.file_profiles(spark, root)
+    return found.groupBy(
+        F.regexp_extract("path", "category=([^/]+)", 1).alias("category"),
+        F.regexp_extract("path", r"year=(\d+)", 1).cast("int").alias("year"), "status", F.col("n_cols").cast("bigint").alias("n_cols"),
+        F.array_join("columns", "|").alias("columns"), F.array_join("non_canonical", "|").alias("non_canonical"),
+    ).agg(F.sum("n_rows").alias("n_rows"))
 
 
 def status_summary(spark, sf_dir):
