@@ -138,5 +138,11 @@ ORACLES = {
                last_year, CAST(greatest(least(years_at_risk * 40, 400), 60) AS INTEGER) AS mark,
                round(grad_rate, 6) AS grad_rate, round(growth, 6) AS growth
         FROM ent JOIN r USING (entity_id)""",
+    "exported_outputs": ENTITIES + """
+        SELECT 'clusters' AS name, 'entity_id|entity_name|cluster|cluster_label' AS columns, count(*) AS n,
+               CAST(sum(cluster) AS BIGINT) AS total, CAST(sum(entity_id) AS BIGINT) AS ids FROM ent
+        UNION ALL SELECT 'predictions', 'entity_id|year|at_risk', count(*), CAST(sum(at_risk) AS BIGINT), CAST(sum(entity_id) AS BIGINT) FROM labelled
+        UNION ALL SELECT 'panel', 'entity_id|entity_name|year|department|enrolled', count(*), CAST(sum(year) AS BIGINT),
+                         CAST(sum(entity_id) AS BIGINT) FROM labelled""",
     "risk_cluster_entities": ENTITIES + "SELECT entity_id, entity_name, sector, department FROM ent WHERE cluster = 2",
 }

@@ -145,7 +145,8 @@ class Segmentation:
 def segment(panel: DataFrame, k: int | None = None, spec: PanelSpec = DEFAULT,
             ks: Iterable[int] = K_RANGE) -> Segmentation:
     """The whole segmentation; ``k=None`` takes the best silhouette."""
-    scaled = stage(standardise(entity_features(panel, spec), spec.cluster_features), "scaled")
+    entities = stage(entity_features(panel, spec), "entities")  # fitting reads it, and so does scaling
+    scaled = stage(standardise(entities, spec.cluster_features), "scaled")
     scores = silhouette_sweep(scaled, ks) if k is None else []
     k = k or best_k(scores)
     clustered = stage(fit_kmeans(scaled, k).transform(scaled), "clustered")

@@ -11,7 +11,8 @@ from panelforge.operators import clustering as K
 from panelforge.operators import risk as R
 from panelforge.operators.panel import DEFAULT, complete_cases
 from panelforge.plans import driver_tables as D
-from panelforge.session import stage
+from panelforge.session import shared_dir, stage
+from panelforge.sources.delimited import export_tables
 
 FEATURES = DEFAULT.cluster_features
 DIMENSIONS = [f"e{i}" for i in range(64)]
@@ -193,6 +194,22 @@ def risk_cluster_entities(spark, sf_dir):
     return A.labelled_clusters(_given_clusters(spark, sf_dir)).select("entity_id", "entity_name", "sector", "department")
 
 
+def exported_outputs(spark, sf_dir):
+    """Outputs written as CSV with byte order marks and read again: columns, rows and a sum of each table."""
+    root = shared_dir(spark, "outputs")
+    panel = D.labelled_panel(spark, sf_dir)
+    tables = {"clusters": _given_clusters(spark, sf_dir).select("entity_id", "entity_name", "cluster", "cluster_label"),
+              "predictions": panel.select("entity_id", "year", "at_risk"),
+              "panel": panel.select("entity_id", "entity_name", "year", "department", "enrolled")}
+    export_tables(tables, root, bom=True)
+    sums = {"clusters": "cluster", "predictions": "at_risk", "panel": "year"}
+    read = {n: spark.read.option("header", True).option("escape", '"').csv(f"{root}/{n}") for n in tables}
+    rows = [df.agg(F.lit(n).alias("name"), F.lit("|".join(df.columns)).alias("columns"), F.count("*").alias("n"),
+                   F.sum(F.col(sums[n]).cast("long")).alias("total"), F.sum(F.col("entity_id").cast("long")).alias("ids"))
+            for n, df in read.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def _study(spark, sf_dir, **options):
     return R.study(D.labelled_panel(spark, sf_dir), D.TRAIN_YEARS, D.TEST_YEARS, **options)
 
@@ -239,6 +256,7 @@ def queries() -> dict:
         "risk_ranking": risk_ranking,
         "intervention_priority": intervention_priority,
         "risk_cluster_entities": risk_cluster_entities,
+        "exported_outputs": exported_outputs,
         "model_comparison": model_comparison,
         "risk_predictions": risk_predictions,
         "feature_importance": feature_importance,

@@ -64,6 +64,16 @@ def read_prepared(spark: SparkSession, path: str, category: str, year: str | int
     return df.withColumns({"_category": F.lit(category), "_source_year": F.lit(str(year))})
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> None:
-    """A folder of CSV parts, written by the executors."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8", bom: bool = False) -> None:
+    """A folder of CSV parts, written by the executors; with ``bom`` each begins with a byte order mark."""
+    if bom and df.columns:
+        df = df.toDF("\ufeff" + df.columns[0], *df.columns[1:])
     df.write.mode(mode).option("header", True).option("escape", '"').option("encoding", encoding).csv(path)
+
+
+def export_tables(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite", bom: bool = False) -> list[str]:
+    """A CSV folder for each table, such as the six cleaned ones or the outputs of the models; the paths written."""
+    paths = {name: f"{root}/{name}" for name in tables}
+    for name, df in tables.items():
+        write_csv(df, paths[name], mode, bom=bom)
+    return list(paths.values())

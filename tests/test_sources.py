@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from panelforge.operators import history as H
+from panelforge.operators import profiling as P
 from panelforge.operators import schema as S
 from panelforge.session import shared_dir, stage
 from panelforge.sources import delimited, discovery, grids, lake
@@ -96,6 +97,30 @@ def test_line_score_counts_cells(spark):
     assert got == brute_score(text, ["ies", "area", "docentes"], ["ano"])
 
 
+def test_profiles_take_each_header(spark):
+    root = shared_dir(spark, "profiles")
+    os.makedirs(f"{root}/x/y")
+    for name, data in {"x/a.csv": '\ufeff"Nota, libre",INSCRITOS\r\n1,2\r\n\r\n3,4\r\n'.encode(), "x/y/b.csv": b"\n",
+                       "c.csv": "Código,x\n1,2\n".encode("latin-1"), "d.csv": b"Sexo"}.items():
+        with open(f"{root}/{name}", "wb") as f:
+            f.write(data)
+    got = {r["path"][-5:]: tuple(r)[1:] for r in P.file_profiles(spark, root).collect()}
+    assert got == {"a.csv": ("ok", 2, 2, ["Nota, libre", "INSCRITOS"], ["Nota, libre"]), "b.csv": ("empty", 0, 0, [], []),
+                   "c.csv": ("error", 1, 0, [], []), "d.csv": ("ok", 0, 1, ["SEXO"], [])}
+
+
+def test_exports_begin_with_a_mark(spark):
+    root = shared_dir(spark, "export")
+    df = spark.createDataFrame([(1, 'a "b", c\u00f1')], "id long, t string")
+    paths = delimited.export_tables({"one": df, "two": df.where("false")}, root, bom=True)
+    assert paths == [f"{root}/one", f"{root}/two"]
+    held = spark.read.option("header", True).option("escape", '"').csv(paths[0])
+    assert held.columns == ["id", "t"] and rows(held) == [("1", 'a "b", c\u00f1')]
+    part = next(f for f in os.listdir(paths[0]) if f.startswith("part-"))
+    with open(f"{paths[0]}/{part}", "rb") as f:
+        assert f.read(3) == b"\xef\xbb\xbf"
+
+
 def test_quoted_cells(spark):
     text = ('Título;"abierto\n"Código de \nla Institución";"Departamento; IES";Sexo;Semestre;Inscritos\n'
             '"1";"a;b";"x\r\ny";"dice ""no""";""\n;"";;;\n2;5" x;"mal"z;q;7')
