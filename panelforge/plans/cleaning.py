@@ -185,7 +185,7 @@ def file_profile(spark, sf_dir):
 
 def status_summary(spark, sf_dir):
     """Outcomes of preparing every document as a sheet of words."""
-    sheets = promote_header(D.table(spark, sf_dir, "documents"), " ", keywords=["the", "her", "tion"], whole=["a"])
+    sheets = promote_header(D.table(spark, sf_dir, "documents"), " ", keywords=["the", "her", "tion"], whole=["a"], quote=None)
     return P.status_counts(sheets.withColumn("n_records", F.size("records")), ["lang", "status"], "n_records")
 
 
