@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelforge.llm import (decontamination, fertility, language, mixing, paragraphs, personal_data, quality,
                             simhash, toxicity, urls)
 from panelforge.llm.common import fold, table
+from panelforge.session import stage
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +34,8 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = fertility.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = fertility.decide(stage(fertility.measured(docs).drop("text"), "measures"))  # no text is staged
     return judged.select("doc_id", "rules.*")
 
 

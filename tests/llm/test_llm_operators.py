@@ -98,6 +98,20 @@ def test_windows_and_measures_are_the_plain_ones():
     assert fertility.measure(None, v)[:6] == (0, 0, 0, 0, 0, 0) and fertility.script("Ωμέγα abc") == "GREEK"
 
 
+def test_bands_reject_what_the_base_lets_through(spark):
+    found = QUERIES["op5_tokeniser_fertility"](spark, SF).join(table(spark, SF, "labels"), "doc_id").where("not base_failed")
+    got = {r.quality: (r.n, r.rejected) for r in found.groupBy("quality").agg(
+        F.count("*").alias("n"), F.avg((~F.col("in_band")).cast("int")).alias("rejected")).collect()}
+    assert got[0][1] >= 0.6 and got[1][1] <= 0.04, got
+    rng = random.Random(3)
+    words = PROSE.split() + "time year people way day man thing woman life child world school state family student".split()
+    clean = [(i, " ".join(rng.choices(words, k=rng.randint(60, 120))).capitalize()) for i in range(300)]
+    junk = [(1000 + i, text.upper()) for i, text in clean[:6]]  # upper case only: nothing that the base counts
+    rows = fertility.judge(spark.createDataFrame(clean + junk, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in rows if not r.rules.base_failed and not r.rules.kept} >= {k for k, _ in junk}
+    assert sum(r.rules.kept for r in rows if r.doc_id < 1000) >= 295
+
+
 def plain_spans(text):
     n = lambda s: re.sub(r"[^0-9]", "", s)
     out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
