@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import (decontamination, fertility, language, mixing, paragraphs, personal_data, quality,
-                            simhash, toxicity, urls)
+from panelforge.llm import (decontamination, fertility, language, mixing, paragraphs, passages, personal_data,
+                            quality, simhash, toxicity, urls)
 from panelforge.llm.common import fold, table
 from panelforge.session import stage
 
@@ -20,7 +20,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeats(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    lines = stage(paragraphs.repeats(docs), "lines")
+    return lines.select("*", F.lit(None).cast("int").alias("first_word"), F.lit(None).cast("int").alias("n_words")).unionByName(
+        passages.passages(docs, lines))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

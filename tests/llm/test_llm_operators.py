@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelforge.llm import (decontamination, fertility, language, mixing, paragraphs, personal_data, quality,
+from panelforge.llm import (decontamination, fertility, language, mixing, paragraphs, passages, personal_data, quality,
                             toxicity, urls)
 from panelforge.llm.common import table
 from panelforge.llm.components import components
@@ -180,6 +180,33 @@ def test_paragraphs_of_awkward_rows(spark, awkward):
     assert sorted(found) == [(4, 0, 4, 0, True), (5, 0, 5, 0, True), (14, 0, 4, 0, False), (15, 0, 5, 0, False)]
 
 
+def test_passages_inside_long_and_wrapped_lines(spark):
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    same = words("s", 60).split()
+    wrapped = "\n".join(" ".join(same[i:i + 9]) for i in range(0, 60, 9))
+    rows = [(1, words("a", 200) + " " + " ".join(same) + " " + words("b", 240)), (2, words("c", 30) + "\n" + wrapped),
+            (3, f"x\n{words('d', 90)} {' '.join(same).upper()} {words('e', 7)}"), (4, words("f", 400)), (5, None), (6, ""), (None, wrapped),
+            (7, "word " * 3000), (8, "word " * 2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in paragraphs.repeats(docs).collect()} & {1, 2, 3} == set()
+    found = {r.doc_id: r for r in passages.passages(docs).collect()}
+    assert {k: (r.para_no, r.first_doc_id, r.first_para_no, r.kept) for k, r in found.items()} == {
+        1: (0, 1, 0, True), 2: (found[2].para_no, 1, 0, False), 3: (1, 1, 0, False), 7: (0, 7, 0, True), 8: (0, 7, 0, False)}
+    start = {1: 200, 2: 30, 3: 91}
+    for k, at in start.items():  # within the passage, and all of it but 12 words at an end
+        assert at <= found[k].first_word <= at + 12 and at + 60 - 12 <= found[k].first_word + found[k].n_words <= at + 60
+    assert passages.passages(docs.where("false")).count() == 0
+
+
+def test_any_shared_run_of_38_words_is_selected_alike():
+    rng = random.Random(9)
+    for _ in range(200):
+        shared = [rng.randrange(50) for _ in range(38)]
+        sides = [" ".join(map(str, [rng.randrange(50) for _ in range(rng.randrange(60))] + shared + [rng.randrange(50) for _ in range(rng.randrange(60))]))
+                 for _ in range(2)]
+        assert set(passages.runs_of(sides[0])[0]) & set(passages.runs_of(sides[1])[0])
+
+
 def test_matches_of_a_large_band_are_those_of_brute_force(spark):
     """Families of edited copies, most of them too far from each other, in one band."""
     rng, base = random.Random(5), [[f"b{k}w{i}" for i in range(48)] for k in range(2)]
