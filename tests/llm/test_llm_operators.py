@@ -180,6 +180,14 @@ def test_paragraphs_of_awkward_rows(spark, awkward):
     assert sorted(found) == [(4, 0, 4, 0, True), (5, 0, 5, 0, True), (14, 0, 4, 0, False), (15, 0, 5, 0, False)]
 
 
+def test_equal_short_lines(spark):
+    rows = [(1, "All rights reserved by the authors\nHome"), (2, "x\n all  RIGHTS reserved by the authors\nHome"), (3, "all rights kept by the authors")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, paragraphs.repeats(docs).collect())) == [(1, 0, 1, 0, True), (2, 1, 1, 0, False)]
+    few = PROSE.rsplit(" ", 2)[0]  # 18 words, one edited: no copy, as it isn't equal
+    assert paragraphs.repeats(spark.createDataFrame([(1, few), (2, few.replace("fox", "cat")), (3, few)], docs.schema)).count() == 2
+
+
 def test_passages_inside_long_and_wrapped_lines(spark):
     words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
     same = words("s", 60).split()
