@@ -24,6 +24,8 @@ BUCKETS, DIM = 1 << 14, 16
 #: Bound of the sample that is fitted on, over all languages.
 SAMPLE = 1200
 UNKNOWN = "und"
+#: Subwords of a word summed at once.
+PIECE = 1 << 16
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -39,7 +41,7 @@ class Buckets(dict):
 
 def subwords(word: str, buckets: Buckets) -> list[int]:
     """Buckets of a lower-cased word: the whole of it, and its runs of 2, 3 and 4 characters."""
-    w = f"<{word[:40]}>"
+    w = f"<{word}>"
     n = len(w)
     grams = [w[i:i + 2] for i in range(n - 1)] + [w[i:i + 3] for i in range(n - 2)] + [w[i:i + 4] for i in range(n - 3)]
     return [hashed(w, n) % BUCKETS, *map(buckets.__getitem__, grams)]
@@ -81,7 +83,9 @@ class Reader:
         if n >= len(self.parts):
             self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)])
         ids = subwords(word, self.buckets)
-        self.parts[n, :-1], self.parts[n, -1] = self.logits_of.take(ids, axis=0).sum(axis=0), len(ids)
+        for at in range(0, len(ids), PIECE):  # a run of letters without spaces may be very long
+            self.parts[n, :-1] += self.logits_of.take(ids[at:at + PIECE], axis=0).sum(axis=0)
+        self.parts[n, -1] = len(ids)
 
     def logits(self, text: str | None) -> np.ndarray | None:
         """None for a text without letters."""

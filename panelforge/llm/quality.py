@@ -29,6 +29,7 @@ FEW = 6.0
 PER_CLASS = (1000, 1000)
 THRESHOLD = 0.3
 _RUN = re.compile(r"(.)\1+")
+_PATTERN = re.compile(r"(.{2,8}?)\1+")
 
 
 def index_vector(unit: str, dim: int = DIM) -> np.ndarray:
@@ -41,15 +42,15 @@ def index_vector(unit: str, dim: int = DIM) -> np.ndarray:
 
 
 def shape(word: str) -> str:
-    """Kinds of characters in order, runs as one: ``Word!!`` is ``Aa!``."""
-    word = word[:64]
+    """Kinds of characters in order, runs as one: ``Word!!`` is ``Aa!``; of long ones repeated patterns too."""
     if word.isalpha():
         if word.islower():
             return "a"
         if word[1:].islower():
             return "Aa"
     kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-    return _RUN.sub(r"\1", kinds)[:12]
+    kinds = _RUN.sub(r"\1", kinds)
+    return kinds if len(kinds) <= 12 else _PATTERN.sub(r"\1", kinds)
 
 
 def stem(word: str) -> str:

@@ -41,6 +41,19 @@ def test_awkward_rows_pass_every_scorer(spark, awkward):
         assert op(awkward.where("false")).count() == 0
 
 
+def test_whole_words_are_read():
+    model = language.fit([("abcabcabc " * 5, "x"), ("xyzxyz zyx " * 5, "y")] * 12)
+    reader = language.Reader(model)
+    short, long = "abc" * 14, "abc" * 14 + "xyz" * 60_000
+    z, y = reader.logits(short), reader.logits(long)
+    assert model.languages[int(z.argmax())] == "x" and model.languages[int(y.argmax())] == "y"
+    ids = language.subwords(long, language.Buckets())
+    assert len(ids) == 1 + 3 * (len(long) + 2) - 6
+    whole = model.bucket_logits()[ids].mean(axis=0) + model.bias
+    assert abs(whole - y).max() < 1e-6
+    assert quality.shape("a" * 70 + "!") == "a!" and quality.shape("0-" * 9 + "X") == "0-A" and quality.shape("Word!!") == "Aa!"
+
+
 def test_mixing_reaches_the_weights_and_keeps_nulls_apart(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("x" * 50).alias("text"),
                                     F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, "rare").alias("source"))
