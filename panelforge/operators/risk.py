@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.numbers import guarded_ratio
 from panelforge.operators.panel import DEFAULT, PanelSpec, complete_cases
-from panelforge.session import stage
+from panelforge.session import shared_dir, stage
 
 SEED = 42
 THRESHOLDS = 100
@@ -65,6 +65,17 @@ def encode(panel: DataFrame, train: Sequence[int], test: Sequence[int],
     return tuple(stage(fitted.transform(part).select(*keep), "encoded") for part in (train_rows, test_rows))
 
 
+def detached(model, spark: SparkSession):
+    """The model written to the shared folder and read back.
+
+    A fitted forest keeps its training summary, and with it the session, which can't go with a task;
+    a model that was read keeps neither.
+    """
+    path = shared_dir(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def score(model, test: DataFrame) -> DataFrame:
     """Predictions with the probability of class 1 as ``score``, staged for the metrics."""
     scored = model.transform(test).withColumn("score", vector_to_array("probability")[1])
@@ -179,7 +190,7 @@ def study(panel: DataFrame, train: Sequence[int] = TRAIN_YEARS, test: Sequence[i
     train_rows, test_rows = encode(panel, train, test, spec)
     result = RiskStudy(spec)
     for name in models:
-        result.models[name] = classifier(name, spec.label).fit(train_rows)
+        result.models[name] = detached(classifier(name, spec.label).fit(train_rows), panel.sparkSession)
         if measure:
             result.scored[name] = score(result.models[name], test_rows)
             result.metrics.append(evaluate(result.scored[name], name, spec.label))

@@ -118,3 +118,16 @@ def test_intervention_from_models(segmentation, study):
     clustered = {r[0] for r in segmentation.clusters.select("entity_id").collect()}
     assert {r["entity_id"] for r in ranked.collect()} == risky & clustered
     assert A.labelled_clusters(segmentation.clusters).filter("cluster_label NOT LIKE '%Riesgo%'").count() == 0
+
+
+@pytest.mark.parametrize("name", R.MODELS)
+def test_models_score_after_an_observed_write(spark, panel, name):
+    """A session that has observed a query once holds state that no task can take; models must not refer to it."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 3
+    study = R.study(panel, D.TRAIN_YEARS, D.TEST_YEARS, models=[name])
+    assert study.metrics[0]["model"] == name and 0 <= study.metrics[0]["auc_roc"] <= 1
+    assert study.roc().count() == 100
