@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm import (decontamination, fertility, language, mixing, paragraphs, passages, personal_data,
-                            quality, simhash, toxicity, urls)
+                            quality, simhash, toxicity, urls, whitening)
 from panelforge.llm.common import fold, table
 from panelforge.session import stage
 
@@ -71,9 +71,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "quality.*")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_paragraph_dedup, op3_url_filter, op4_source_mixing, op5_tokeniser_fertility, op6_simhash,
-    op7_decontamination, op8_personal_data, op9_toxicity, op10_quality)}
+    op7_decontamination, op8_personal_data, op9_toxicity, op10_quality,
+    op11_embedding_whitening)}
 
 #: Statements for those that SQL can express; the others are tested against brute force and held-out labels.
 ORACLES = {"op3_url_filter": urls.ORACLE, "op4_source_mixing": mixing.ORACLE,
