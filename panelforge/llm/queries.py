@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import (decontamination, fertility, language, mixing, paragraphs, passages, personal_data,
-                            quality, simhash, toxicity, urls, whitening)
+from panelforge.llm import (alignment, bpe, decontamination, fertility, language, mixing, paragraphs, passages,
+                            personal_data, quality, simhash, toxicity, urls, whitening)
 from panelforge.llm.common import fold, table
 from panelforge.session import stage
 
@@ -75,10 +75,21 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return coded.select("doc_id", F.expr("cast(octet_length(ids) / 4 AS bigint)").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text")).documents
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_paragraph_dedup, op3_url_filter, op4_source_mixing, op5_tokeniser_fertility, op6_simhash,
     op7_decontamination, op8_personal_data, op9_toxicity, op10_quality,
-    op11_embedding_whitening)}
+    op11_embedding_whitening, op12_bpe_codec, op13_tokenizer_alignment)}
 
 #: Statements for those that SQL can express; the others are tested against brute force and held-out labels.
 ORACLES = {"op3_url_filter": urls.ORACLE, "op4_source_mixing": mixing.ORACLE,
