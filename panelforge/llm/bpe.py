@@ -3,8 +3,8 @@
 The texts are split into words once. A chunk of documents keeps its distinct words as a list and its texts as
 positions in that list. The lists, cut by a hash of the word into buckets whose number grows with the corpus, meet in
 the distinct-word table, where each distinct word of the corpus is encoded once; the ids go back to the chunks, and
-positions become ids. Only lists of distinct words and positions are moved, no texts. Decoding joins ids with the
-pieces of the vocabulary.
+positions become ids. Only lists of distinct words are moved, no texts. Decoding joins ids with the pieces of the
+vocabulary.
 
 Ids are those of the tokenizers library with add_special_tokens=False: strings of added tokens in a text become their
 ids. A NULL or empty text has no ids and decodes to an empty text. Each row is encoded on its own: repeated ids
@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
+import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,12 +32,16 @@ from pyspark.sql.types import StringType, StructType
 
 from panelforge.llm.fertility import PIECES
 from panelforge.llm.frames import narrow, pack, pack_words, unpack, unpack_words
-from panelforge.session import stage
+from panelforge.session import shared_dir
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Characters of a chunk of documents, and of the corpus for each bucket of the distinct-word table.
-CHUNK_CHARS, BUCKET_CHARS = 24_000_000, 16_000_000
+CHUNK_CHARS, BUCKET_CHARS = 8_000_000, 16_000_000
 LEAST_BUCKETS = 8
+#: Groups of chunks that are joined by one task each; Spark allows no more buckets of a table.
+MOST_GROUPS = 100_000
+#: Positions from here on are kept in a list of their own.
+_RARE = 65_535
 #: Bytes of ids that a task hands on at a time.
 BATCH_BYTES = 4_000_000
 DOCS = -1  # the "bucket" of a chunk's documents
@@ -138,21 +143,25 @@ class _Positions(dict):
 def _chunk_rows(chunk: int, ids: list, positions: list[np.ndarray], words: _Positions, buckets: int) -> Iterator[tuple]:
     """The documents of a chunk, and its distinct words, a list for each bucket that has some.
 
-    Positions count through the lists bucket by bucket, words of a bucket in the order of their bytes.
+    A word's position is its rank by frequency in the chunk, which packs best; lists keep that order.
     """
-    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+    flat = np.concatenate(positions)
+    order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+    rank = np.empty(len(words), dtype=np.int64)
+    rank[order] = np.arange(len(words))
+    met = list(words)
+    raw = [met[i].encode("utf-8", "surrogatepass") for i in order]
     bucket = np.fromiter((zlib.crc32(w) % buckets for w in raw), dtype=np.int64, count=len(raw))
-    order = sorted(range(len(raw)), key=lambda i: (bucket[i], raw[i]))
-    rank = np.empty(len(raw), dtype=np.int64)
-    rank[order] = np.arange(len(raw))
+    codes = rank[flat]
     lengths = np.fromiter(map(len, positions), dtype=np.int64, count=len(positions))
-    flat = rank[np.concatenate(positions)] if len(raw) else np.empty(0, dtype=np.int64)
     yield chunk, DOCS, pack(np.array([i or 0 for i in ids], dtype=np.int64), np.array([i is not None for i in ids], dtype=np.uint8),
-                            narrow(lengths), narrow(flat))
-    ends = np.cumsum(np.bincount(bucket, minlength=buckets)) if len(raw) else np.zeros(buckets, dtype=np.int64)
-    for b, (start, end) in enumerate(zip([0, *ends.tolist()], ends.tolist())):
+                            narrow(lengths), np.minimum(codes, _RARE).astype(np.uint16), narrow(codes[codes >= _RARE] - _RARE),
+                            narrow(bucket))
+    by_bucket = np.argsort(bucket, kind="stable")
+    ends = np.cumsum(np.bincount(bucket, minlength=buckets)).tolist()
+    for b, (start, end) in enumerate(zip([0, *ends], ends)):
         if end > start:
-            yield chunk, b, pack_words([raw[i] for i in order[start:end]])
+            yield chunk, b, pack_words([raw[i] for i in by_bucket[start:end]])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -214,27 +223,43 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def _joined(documents: pa.Table, lists: pa.Table) -> pa.Table:
     """The ids of all documents of one chunk, from their positions and the ids of the chunk's words."""
-    parts = [unpack(p) for _, p in sorted(zip(lists.column("bucket").to_pylist(), lists.column("payload").to_pylist()))]
-    lengths = np.concatenate([p[0] for p in parts]).astype(np.int64) if parts else np.empty(0, dtype=np.int64)
-    ids = np.concatenate([p[1] for p in parts]).astype(np.uint32) if parts else np.empty(0, dtype=np.uint32)
-    starts = np.cumsum(lengths) - lengths
+    parts = [unpack(p.as_py()) for p in lists.sort_by("bucket").column("payload")]
     doc_ids, out = [], []
-    for frame in documents.column("payload").to_pylist():
-        known, there, counts, positions = unpack(frame)
+    for frame in documents.column("payload"):
+        known, there, counts, common, rare, bucket = unpack(frame.as_py())
+        order = np.argsort(bucket, kind="stable")  # where the words of the lists stand
+        lengths = np.zeros(len(bucket), dtype=np.int64)
+        starts = np.zeros(len(bucket), dtype=np.int64)
+        ids = np.empty(0, dtype="<u4")
+        if parts:
+            lengths[order] = listed = np.concatenate([p[0] for p in parts]).astype(np.int64)
+            starts[order] = np.cumsum(listed) - listed
+            ids = np.concatenate([p[1] for p in parts]).astype("<u4")
+        positions = common.astype(np.uint32)
+        positions[common == _RARE] += rare.astype(np.uint32)
         ends = np.cumsum(counts, dtype=np.int64).tolist()
         for a, b in zip([0, *ends], ends):
             p = positions[a:b]
-            out.append(ids[ragged(starts[p], lengths[p])].astype("<u4").tobytes())
+            out.append(ids[ragged(starts[p], lengths[p])].tobytes())
         doc_ids += [i if t else None for i, t in zip(known.tolist(), there.tolist())]
     return pa.table([pa.array(doc_ids, pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
 
+def _kept_by_chunk(rows: DataFrame, groups: int) -> DataFrame:
+    """``rows`` written as a table bucketed by chunk, so that what is joined to a chunk comes to it, not the other way."""
+    spark, path = rows.sparkSession, shared_dir(rows.sparkSession, "bpe")
+    name = f"panelforge_bpe_{uuid.uuid4().hex}"
+    rows.write.bucketBy(groups, "chunk").option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def encode(docs: DataFrame, path: str = VOCABULARY, chunk_chars: int = CHUNK_CHARS,
            bucket_chars: int = BUCKET_CHARS) -> DataFrame:
     """(doc_id, ids): the ids of each whole text, little-endian 32-bit numbers after one another."""
     source = read(path)
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = stage(split(docs, source, max(LEAST_BUCKETS, chars // bucket_chars + 1), chunk_chars), "bpe")
+    buckets, groups = (max(LEAST_BUCKETS, chars // n + 1) for n in (bucket_chars, chunk_chars))
+    parts = _kept_by_chunk(split(docs, source, buckets, chunk_chars), min(groups, MOST_GROUPS))
     words = encoded_words(parts.where(F.col("bucket") != DOCS), source)
     return (parts.where(F.col("bucket") == DOCS).groupBy("chunk").cogroup(words.groupBy("chunk"))
             .applyInArrow(_joined, "doc_id bigint, ids binary"))
