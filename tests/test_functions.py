@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions import numbers as N
 from panelforge.functions import text as T
-from panelforge.functions.quantiles import Quantile, exact_quantiles
+from panelforge.functions.quantiles import Quantile, brackets, exact_quantiles
 
 
 def apply(spark, values, expr, kind="string"):
@@ -106,3 +106,19 @@ def test_exact_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None, 1.0)], "x double, y double")
     row = exact_quantiles(df, {"a": Quantile("x", 0.5), "b": Quantile("y", 0.5)}).first()
     assert (row["a"], row["b"]) == (None, 1.0)
+
+
+@pytest.mark.parametrize("kind", ["even", "lumps", "powers"])
+def test_brackets_hold_few_values_of_ten_million(spark, kind):
+    """However coarse the sketch, the window that ranks the last values has at most ``few`` of them."""
+    n, few = 10_000_000, 500
+    value = {"even": F.col("id").cast("double"), "lumps": F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id") / 7.0),
+             "powers": F.pow(F.lit(1.0001), F.col("id") % 700_000)}[kind]
+    df = spark.range(0, n, 1, 8).select(F.when(F.col("id") % 10 != 9, value).alias("x"))
+    wanted = {"a": Quantile("x", 0.25, "disc"), "b": Quantile("x", 0.6, "cont"), "c": Quantile("x", 1.0, "cont")}
+    found = brackets(df, wanted, 100, few)
+    inside = df.agg(*[F.count_distinct(F.when(F.col("x").between(*found[a]), F.col("x"))).alias(a) for a in wanted]).first()
+    assert all(1 <= inside[a] <= few for a in wanted), inside
+    if kind == "even":
+        k = 2_250_000 - 1  # of nine million values, each ten's first nine
+        assert exact_quantiles(df, {"a": wanted["a"]}, 100, few).first()["a"] == k // 9 * 10 + k % 9
