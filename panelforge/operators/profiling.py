@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType
 
 from panelforge.functions.text import literal_map
 from panelforge.operators import schema as S
-from panelforge.sources import grids
+from panelforge.sources import grids, split_sheets
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -83,27 +83,23 @@ def profile_summary(results: DataFrame, status: str = "status") -> DataFrame:
 
 
 def file_profiles(spark: SparkSession, root: str, separator: str = ",", encoding: str = "UTF-8",
-                  pattern: str = "*.csv") -> DataFrame:
+                  suffix: str = "csv") -> DataFrame:
     """(path, status, n_rows, n_cols, columns, non_canonical) of every delimited file below ``root``.
 
-    Each file is taken by its own header: its first line, which only the task that reads the file's
-    beginning sees. Large files are counted by several tasks, and no more than a count and that line
-    leaves a task. ``columns`` are canonical names, ``non_canonical`` headers that no schema knows.
-    ``status`` is ``error`` where the header can't be decoded, ``empty`` where it is blank, else ``ok``; rows of
-    both failures are counted too. Blank lines are no rows.
+    Each file is taken by its own header, its first line, in which quoted cells may hold line breaks. Large files
+    are read by several tasks, and a count and that line are all that is gathered of a file. ``columns`` are
+    canonical names, ``non_canonical`` headers that no schema knows. ``status`` is ``error`` where the header can't be
+    decoded, ``empty`` where it is blank, else ``ok``; rows of both failures are counted too. Rows are records, so one
+    whose cells hold line breaks counts once; blank lines are no rows.
     """
-    raw = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("encoding", encoding)
-           .text(root).select("value", F.col("_metadata.file_path").alias("path"),
-                              F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at")))
-    line = F.regexp_replace("value", "^\ufeff|\r$", "")
-    head = F.min(F.when(F.col("start") == 0, F.struct("at", line.alias("line"))))["line"]
-    files = raw.groupBy("path").agg(head.alias("head"), F.count_if(F.col("value").rlike(r"\S")).alias("n"))
+    lines = split_sheets.read_lines(spark, root, separator, encoding, suffix)
+    first = F.min_by("line", F.struct(*split_sheets.PLACE))
+    files = lines.groupBy(*split_sheets.KEY).agg(first.alias("head"), F.count_if(F.col("line").rlike(r"[^\s\ufdd1\ufdd2]")).alias("n"))
     blank, broken = ~F.col("head").rlike(r"\S"), F.col("head").contains("\ufffd")
     named = files.select(
-        "path", F.when(blank, "empty").when(broken, "error").otherwise("ok").alias("status"),
+        F.concat_ws("/", *split_sheets.KEY).alias("path"), F.when(blank, "empty").when(broken, "error").otherwise("ok").alias("status"),
         F.when(blank, F.col("n")).otherwise(F.col("n") - 1).alias("n_rows"),
-        F.when(blank | broken, F.array().cast("array<string>"))
-        .otherwise(grids.cells_of(grids.hold_quoted("head", separator), separator)).alias("names"))
+        F.when(blank | broken, F.array().cast("array<string>")).otherwise(grids.cells_of(F.col("head"), separator)).alias("names"))
     known = literal_map(S.ALIASES)
     odd = F.filter("names", lambda c: F.try_element_at(known, S.header_key_col(c)).isNull())
     return named.select("path", "status", "n_rows", F.size("names").alias("n_cols"),

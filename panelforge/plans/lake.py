@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.numbers import to_int
 from panelforge.operators import schema as S
-from panelforge.operators.history import merge_all, merge_category, union_years
+from panelforge.operators.history import merge_all, merge_category, union_years, wanted_years
 from panelforge.plans import driver_tables as D
 from panelforge.session import shared_dir
 from panelforge.sources import delimited, lake, reports
+from panelforge.sources.discovery import MULTI_YEAR
 
 YEAR = "order_year"
 STATUS_CATEGORY = {"F": "graduados", "O": "inscritos", "P": "matriculados"}
@@ -194,9 +195,10 @@ def historical_merge(spark, sf_dir):
 
 
 def multi_year_range(spark, sf_dir):
-    """The multi-year file's rows of the years wanted, from a text year."""
-    orders = D.table(spark, sf_dir, "orders").withColumn("year", to_int((F.year("o_orderdate") + 15).cast("string")))
-    return orders.filter(F.col("year").between(2013, 2017)).select("o_orderkey", "year", "o_totalprice")
+    """Of the graduates' multi-year file the rows of the years wanted, from a text year."""
+    orders = D.table(spark, sf_dir, "orders").withColumns({
+        S.YEAR: to_int((F.year("o_orderdate") + 15).cast("string")), "_source_year": F.lit(MULTI_YEAR)})
+    return wanted_years(orders, "graduados").select("o_orderkey", F.col(S.YEAR).alias("year"), "o_totalprice")
 
 
 def queries() -> dict:

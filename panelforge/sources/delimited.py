@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelforge.functions.numbers import to_double
 from panelforge.operators import schema as S
@@ -23,8 +25,12 @@ LATIN = "ISO-8859-1"
 def read_text_table(spark: SparkSession, path: str, header: bool = True, encoding: str = "UTF-8",
                     separator: str = ",") -> DataFrame:
     """A CSV with all columns as text: no inference pass over the data."""
-    return (spark.read.option("header", header).option("encoding", encoding).option("sep", separator)
-            .option("quote", '"').option("escape", '"').option("multiLine", "false").csv(path))
+    return _text_options(spark.read, header, encoding, separator).csv(path)
+
+
+def _text_options(reader: DataFrameReader, header: bool = True, encoding: str = "UTF-8", separator: str = ",") -> DataFrameReader:
+    return (reader.option("header", header).option("encoding", encoding).option("sep", separator)
+            .option("quote", '"').option("escape", '"').option("multiLine", "false"))
 
 
 def read_typed(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
@@ -52,16 +58,30 @@ def read_export(spark: SparkSession, path: str, metric: str, metric_at: int = -2
     return named.withColumns({c: to_double(c) for c in (metric, year, entity)})
 
 
-def read_prepared(spark: SparkSession, path: str, category: str, year: str | int,
-                  file_format: str = "parquet") -> DataFrame:
-    """A prepared table of texts; the year becomes a column if the file has none.
+def with_source(df: DataFrame, category: str, year: Column) -> DataFrame:
+    """The category and the file's year as metadata; the year becomes a column if no header resolves to it."""
+    if S.YEAR not in {S.resolve(c, category) for c in df.columns}:
+        df = df.withColumn(S.YEAR, year)
+    return df.withColumns({"_category": F.lit(category), "_source_year": year})
+
+
+def read_prepared(spark: SparkSession, path: str | Sequence[str], category: str, year: str | int | Mapping[str, str],
+                  file_format: str = "parquet", schema: StructType | None = None) -> DataFrame:
+    """Prepared tables of texts that share a layout, in one scan.
 
-    Parquet by default, as it keeps headers with line breaks and stays splittable.
+    Parquet by default, as it keeps headers with line breaks and stays splittable. ``year`` is that of all files, or
+    a mapping from each file (as Spark lists it) to its own, joined by the file that a row comes from.
     """
-    df = read_text_table(spark, path) if file_format == "csv" else spark.read.format(file_format).load(path)
-    if S.YEAR not in {S.resolve(c, category) for c in df.columns}:
-        df = df.withColumn(S.YEAR, F.lit(str(year)))
-    return df.withColumns({"_category": F.lit(category), "_source_year": F.lit(str(year))})
+    paths = [path] if isinstance(path, str) else list(path)
+    reader = _text_options(spark.read) if file_format == "csv" else spark.read
+    df = (reader.schema(schema) if schema is not None else reader).format(file_format).load(paths)
+    if not isinstance(year, Mapping):
+        return with_source(df, category, F.lit(str(year)))
+    years = spark.createDataFrame([(unquote(f), y) for f, y in year.items()], "_file string, _year string")
+    here = F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
+    rows = df.withColumn("_file", here).join(years, "_file", "left").withColumn(
+        "_year", F.coalesce("_year", F.raise_error(F.concat(F.lit("a file without a year: "), "_file")).cast("string")))
+    return with_source(rows, category, F.col("_year")).drop("_file", "_year")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8", bom: bool = False) -> None:

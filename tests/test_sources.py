@@ -1,6 +1,7 @@
 """Files: discovery, sheets, lake, CSV."""
 
 import os
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,6 +110,16 @@ def test_profiles_take_each_header(spark):
                    "c.csv": ("error", 1, 0, [], []), "d.csv": ("ok", 0, 1, ["SEXO"], [])}
 
 
+def test_profiles_of_headers_with_line_breaks(spark):
+    root = shared_dir(spark, "profiles")
+    os.makedirs(root)
+    head = '"Código de \nla Institución",Semestre,Sector IES\n'
+    with open(f"{root}/a.csv", "w", encoding="utf-8") as f:
+        f.write(head + '1,1,"a\n\n \nb"\n\n2,2,oficial\n')
+    got = [tuple(r)[1:] for r in P.file_profiles(spark, root).collect()]
+    assert got == [("ok", 2, 3, ["CÓDIGO DE LA INSTITUCIÓN", "SEMESTRE", "SECTOR IES"], [])]
+
+
 def test_exports_begin_with_a_mark(spark):
     root = shared_dir(spark, "export")
     df = spark.createDataFrame([(1, 'a "b", c\u00f1')], "id long, t string")
@@ -170,7 +181,7 @@ def test_skewed_year_is_split(spark):
         lake.write_category(df, root, "inscritos")
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
-    files = [f for f in spark.read.parquet(f"{root}/inscritos").inputFiles()]
+    files = lake.read_category(spark, root, "inscritos").inputFiles()
     assert sum("2013" in f for f in files) > 1
 
 
@@ -192,6 +203,88 @@ def test_load_lake_from_prepared_files(spark):
     assert sorted(r["status"] for r in reports) == ["error", "processed", "processed"]
 
 
+def test_years_of_any_century_are_counted(spark):
+    root = shared_dir(spark, "lake")
+    df = spark.createDataFrame([(1, 1200), (2, 1849), (3, 2150), (4, 99999), (5, None)], f"v int, `{S.YEAR}` int")
+    done = lake.write_category(df, root, "inscritos")
+    assert (done["n_rows"], done["n_years"]) == (5, 4)
+    assert rows(lake.integrity_report(spark, root)) == [("inscritos", "ok", 4, "1200,1849,2150,99999", 5)]
+    assert rows(lake.read_category(spark, root, "inscritos", [1849]).select("v")) == [(2,)]
+
+
+def test_a_write_that_breaks_off_leaves_the_old_version(spark, monkeypatch):
+    root = shared_dir(spark, "lake")
+    df = spark.createDataFrame([(1, 2020), (2, 2021)], f"v int, `{S.YEAR}` int")
+    lake.write_category(df, root, "inscritos")
+    bad = df.withColumn("v", F.when(F.col("v") == 2, F.raise_error(F.lit("stop")).cast("int")).otherwise(F.col("v") + 10))
+    for mode in lake.MODES:
+        with pytest.raises(Exception, match="stop"):
+            lake.write_category(bad, root, "inscritos", mode=mode)
+        assert sorted(rows(lake.read_category(spark, root, "inscritos"))) == [(1, 2020), (2, 2021)]
+    monkeypatch.setattr(lake, "_commit", lambda *a: 1 / 0)  # all files written, the version not
+    with pytest.raises(ZeroDivisionError):
+        lake.write_category(df.withColumn("v", F.col("v") + 10), root, "inscritos")
+    monkeypatch.undo()
+    assert sorted(rows(lake.read_category(spark, root, "inscritos"))) == [(1, 2020), (2, 2021)]
+    assert lake.versions(spark, root, "inscritos") == [1]
+    os.makedirs(f"{root}/{lake.VERSIONS}/category=inscritos/version=2/_temporary")  # a commit that broke off
+    lake.write_category(df.withColumn("v", F.col("v") + 10), root, "inscritos")
+    assert lake.versions(spark, root, "inscritos") == [1, 2]
+
+
+def test_a_version_is_switched_in_one_step_and_earlier_ones_stay(spark):
+    root = shared_dir(spark, "lake")
+    frame = lambda *r: spark.createDataFrame(list(r), f"v int, `{S.YEAR}` int")
+    lake.write_category(frame((1, 2020), (2, 2021)), root, "inscritos")
+    reader = lake.read_category(spark, root, "inscritos")
+    lake.write_category(frame((3, 2021), (4, 2022)), root, "inscritos", mode="replace_years")
+    assert sorted(r["v"] for r in reader.collect()) == [1, 2]  # what was opened before stays whole
+    assert sorted(r["v"] for r in lake.read_category(spark, root, "inscritos").collect()) == [1, 3, 4]
+    lake.write_category(frame((9, 2000)), root, "inscritos")
+    assert [sorted(r["v"] for r in lake.read_category(spark, root, "inscritos", version=n).collect()) for n in (1, 2, 3)] == [[1, 2], [1, 3, 4], [9]]
+    with pytest.raises(FileNotFoundError):
+        lake.read_category(spark, root, "inscritos", version=7)
+    with pytest.raises(Exception, match="version=3"):  # another writer was first
+        lake._commit(spark, root, "inscritos", 3, [])
+
+
+def test_a_read_of_one_year_opens_only_its_files(spark):
+    root = shared_dir(spark, "lake")
+    df = spark.range(40).select(F.col("id").alias("v"), (F.col("id") % 4 + 2010).cast("int").alias(S.YEAR))
+    lake.write_category(df, root, "inscritos")
+    lake.write_category(df.where("v < 8").withColumn("extra", F.lit("x")), root, "inscritos", mode="replace_years", years=[2011])
+    one = lake.read_category(spark, root, "inscritos", [2011])
+    assert all(f"{S.YEAR}=2011" in f or "=2011" in f for f in one.inputFiles()) and one.inputFiles()
+    assert one.columns == ["v", S.YEAR, "extra"] and sorted(r["v"] for r in one.collect()) == [1, 5]
+    assert lake.read_category(spark, root, "inscritos", [1999]).count() == 0
+    two = lake.read_category(spark, root, "inscritos", [2012])
+    assert two.columns == ["v", S.YEAR, "extra"] and len(two.inputFiles()) == 1
+
+
+def test_kept_ranges_skip_files(spark):
+    root = shared_dir(spark, "lake")
+    for low in (0, 1000, 2000):
+        part = spark.range(low, low + 100).select(F.col("id").alias("v"), F.lit(2020).alias(S.YEAR), F.lit("a b").alias("t"))
+        lake.write_category(part, root, "inscritos", mode="append", ranges=["v"] if low != 2000 else [])
+    some = lake.read_category(spark, root, "inscritos", between={"v": (1010, 1019)})
+    assert sorted(r["v"] for r in some.collect()) == list(range(1010, 1020))
+    assert len(some.inputFiles()) == 2  # the one that fits, and the one without ranges
+    assert lake.read_category(spark, root, "inscritos", between={"v": (5000, 6000)}).count() == 0
+    both = lake.read_category(spark, root, "inscritos", [2020], between={"v": (50, 1049)})
+    assert both.count() == 100 and len(both.inputFiles()) == 3
+
+
+def test_unreadable_files_are_in_the_report(spark):
+    root = shared_dir(spark, "lake")
+    df = spark.createDataFrame([(1, 2020)], f"v int, `{S.YEAR}` int")
+    lake.write_category(df, root, "good")
+    lake.write_category(df, root, "bad")
+    for f in lake.read_category(spark, root, "bad").inputFiles():
+        with open(unquote(f.removeprefix("file://")), "wb") as out:
+            out.write(b"no parquet")
+    assert [r[:2] for r in rows(lake.integrity_report(spark, root), "category")] == [("bad", "error"), ("good", "ok")]
+
+
 def test_append_adds_and_empty_tables_report_nothing(spark):
     root = shared_dir(spark, "lake")
     df = spark.createDataFrame([(1, 2020)], f"v int, `{S.YEAR}` int")
@@ -214,6 +307,24 @@ def test_export_by_position(spark):
     assert rows(out.select("COD_IES", "NOMBRE_IES", "METRIC", S.YEAR), "NOMBRE_IES") == [(7.0, "Núñez", 1.5, 2013.0), (None, "b", None, None)]
 
 
+def test_many_files_in_few_layouts_are_few_scans(spark):
+    """Files of one layout are one scan, with the year of each row from its file."""
+    src = shared_dir(spark, "prepared")
+    base = "`Código de la Institución` string, `Código SNIES del programa` string, semestre string"
+    files = []
+    for i in range(45):
+        extra = [", `Inscritos` string", ", `Inscripciones 2018` string", ", `Inscritos` string, `Año` string"][i % 3]
+        values = [str(i), "10", "1", "7", "2016"][:4 + (i % 3 == 2)]
+        path = f"{src}/f {i}"
+        spark.createDataFrame([tuple(values)], base + extra).coalesce(1).write.parquet(path)
+        files.append((str(2014 + i % 5), path))
+    merged, reports = H.merge_category(spark, "inscritos", files)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("] parquet") == 3 and len(reports) == 45
+    got = sorted((int(r[0]), r[1], r[2]) for r in merged.select(S.INSTITUTION_CODE, S.YEAR, "INSCRITOS").collect())
+    assert got == [(i, 2016 if i % 3 == 2 else 2014 + i % 5, 7) for i in range(45)]
+
+
 def test_stage_reads_back_the_same(spark):
     df = spark.range(5).withColumn("x", F.col("id") * 2)
     assert rows(stage(df), "id") == rows(df, "id")
