@@ -54,7 +54,36 @@ MATRIX = ", c AS (" + " UNION ALL ".join(
     f"SELECT {i} AS i, {j} AS j, covar_samp({a}, {b}) AS v FROM z" for i, a in enumerate(FEATURES)
     for j, b in enumerate(FEATURES)) + ")"
 
+EIGEN = SCALED + MATRIX + power("c", "p", 9) + """
+        , one AS (SELECT sum(c.v * p8.v) AS v FROM c JOIN p8 ON c.i = p8.j AND c.j = p8.i)
+        , rest AS (SELECT c.i, c.j, c.v - (SELECT v FROM one) * p8.v AS v FROM c JOIN p8 USING (i, j))
+        """ + power("rest", "q", 9) + """
+        , two AS (SELECT sum(rest.v * q8.v) AS v FROM rest JOIN q8 ON rest.i = q8.j AND rest.j = q8.i)"""
+
+TRAINING = PANEL + f"""
+, tr AS (SELECT * FROM labelled WHERE {COMPLETE} AND prev_grad_rate IS NOT NULL AND at_risk IS NOT NULL AND year BETWEEN 1995 AND 1999)
+"""
+MODEL_FEATURES = sorted([*FEATURES, "prev_grad_rate"])
+
 ORACLES = {
+    "kmeans_nearest": ENTITIES + "SELECT count(*) AS n, 5::BIGINT AS n_clusters, 0::BIGINT AS n_nearer_elsewhere, 0::BIGINT AS n_centres_off FROM ent",
+    "pca_eigen": EIGEN + """
+        SELECT 1 AS component, round(one.v, 6) AS eigenvalue, true AS is_unit, true AS is_eigenvector FROM one
+        UNION ALL SELECT 2, round(two.v, 6), true, true FROM two""",
+    "tree_scores": PANEL + f"""
+        , t AS (SELECT entity_id, year, CASE WHEN retention <= 0.8 THEN 0.9 ELSE 0.2 END AS a,
+                       CASE WHEN gap <= 1500 THEN CASE WHEN growth <= 0 THEN 0.7 ELSE 0.1 END
+                            ELSE CASE WHEN staff_load <= 20 THEN 0.4 ELSE 0.6 END END AS b,
+                       CASE WHEN enrolled <= 1000 THEN -0.5 ELSE CASE WHEN grad_rate <= 0.5 THEN 0.3 ELSE 0.8 END END AS c
+                FROM lagged WHERE {COMPLETE})
+        SELECT entity_id, year, CAST(round((a + b + c) / 3, 6) AS DOUBLE) AS forest,
+               CAST(round(1 / (1 + exp(-2 * (a + 0.5 * b + 0.25 * c))), 6) AS DOUBLE) AS boosted FROM t""",
+    "logistic_optimum": TRAINING + """
+        SELECT count(*) AS n_rows, CAST(sum(at_risk) AS BIGINT) AS n_at_risk, true AS is_optimum,
+               7 + count(DISTINCT sector) + 1 + count(DISTINCT character) + 1 AS n_slots FROM tr""",
+    "importance_order": f"""
+        SELECT model, '{",".join(MODEL_FEATURES)}' AS features, true AS is_in_order, true AS is_a_share
+        FROM (VALUES ('RandomForest'), ('GBT')) m(model)""",
     "silhouette_given": SCALED + f"""
         , d AS (SELECT a.entity_id, a.cluster, b.cluster AS other, count(*) AS n,
                        sum({" + ".join(f"(a.{c} - b.{c}) ** 2" for c in FEATURES)}) AS far FROM z a, z b GROUP BY ALL)

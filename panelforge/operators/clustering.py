@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, PCAModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,11 +67,14 @@ def best_k(scores: Sequence[tuple[int, float]]) -> int:
     return max(scores, key=lambda s: (s[1], -s[0]))[0]
 
 
+def fit_pca(scaled: DataFrame) -> PCAModel:
+    return PCA(inputCol="features_scaled", outputCol="_pca", k=2).fit(scaled)
+
+
 def pca_coordinates(scaled: DataFrame) -> DataFrame:
     """Add the first two principal components as ``PC1`` and ``PC2``."""
-    pca = PCA(inputCol="features_scaled", outputCol="_pca", k=2).fit(scaled)
     at = vector_to_array("_pca")
-    return pca.transform(scaled).withColumns({"PC1": at[0], "PC2": at[1]}).drop("_pca")
+    return fit_pca(scaled).transform(scaled).withColumns({"PC1": at[0], "PC2": at[1]}).drop("_pca")
 
 
 def centroids(coordinates: DataFrame) -> DataFrame:

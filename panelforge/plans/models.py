@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelforge.operators import analytics as A
+from panelforge.operators import certificates as Z
 from panelforge.operators import clustering as K
 from panelforge.operators import risk as R
 from panelforge.operators.panel import DEFAULT, complete_cases
@@ -16,6 +18,9 @@ from panelforge.sources.delimited import export_tables
 
 FEATURES = DEFAULT.cluster_features
 DIMENSIONS = [f"e{i}" for i in range(64)]
+#: Farthest that a centre of converged clusters may be from the mean of its members, in deviations; steepest slope
+#: of a loss that counts as level.
+CENTRE_OFF, STEEPEST = 0.05, 1e-3
 GIVEN_LABELS = {0: K.EFFICIENT, 1: K.GROWING, 2: K.AT_RISK, 3: K.STABLE, 4: K.LOADED}
 
 
@@ -106,6 +111,27 @@ def kmeans_sums(spark, sf_dir):
     return long.select("feature", "n", A.rounded(F.col("squares") / F.col("n")).alias("mean_square"))
 
 
+def kmeans_nearest(spark, sf_dir):
+    """Whether the clusters found are K-Means': entities nearer to another centre, centres away from their members' mean."""
+    scaled = _scaled(spark, sf_dir)
+    model = K.fit_kmeans(scaled, 5)
+    centres = [c.tolist() for c in model.clusterCenters()]
+    rows = stage(Z.nearest_centres(model.transform(scaled), centres), "nearest")
+    found = rows.agg(F.count("*").alias("n"), F.count_distinct("cluster").alias("n_clusters"),
+                     F.count_if((F.col("nearest") != F.col("cluster")) & (F.col("far_own") > F.col("far_nearest"))).alias("n_nearer_elsewhere"))
+    off = Z.centre_offsets(rows, centres).agg(F.count_if(F.col("offset") > CENTRE_OFF).alias("n_centres_off"))
+    return found.select("*", off.scalar().alias("n_centres_off"))
+
+
+def pca_eigen(spark, sf_dir):
+    """The components themselves: the covariance turns none of them, and stretches each by its variance."""
+    scaled = _scaled(spark, sf_dir)
+    vectors = K.fit_pca(scaled).pc.toArray().T.tolist()
+    told = Z.eigen_residuals(stage(Z.covariance(scaled, "features_scaled"), "covariance"), vectors)
+    return told.select("component", A.rounded(F.col("eigenvalue")).alias("eigenvalue"),
+                       (F.abs(F.col("length") - 1) < 1e-9).alias("is_unit"), (F.col("residual") < 1e-9).alias("is_eigenvector"))
+
+
 def pca_moments(spark, sf_dir):
     """Variances of both components and their covariance, which is none: the two largest eigenvalues of the features."""
     at = pca_coords(spark, sf_dir)
@@ -230,6 +256,45 @@ def model_roc(spark, sf_dir):
     return _study(spark, sf_dir).roc()
 
 
+def _given_trees(spark):
+    """Three trees over the features of the clusters: a stump, one of two levels, one with a leaf at the root's left."""
+    leaf, at = (None, None, None, None), {c: i for i, c in enumerate(FEATURES)}
+    trees = [(1.0, [(at["retention"], 0.8, 1, 2, None), (*leaf, 0.9), (*leaf, 0.2)]),
+             (0.5, [(at["gap"], 1500.0, 1, 4, None), (at["growth"], 0.0, 2, 3, None), (*leaf, 0.7), (*leaf, 0.1),
+                    (at["staff_load"], 20.0, 5, 6, None), (*leaf, 0.4), (*leaf, 0.6)]),
+             (0.25, [(at["enrolled"], 1000.0, 1, 2, None), (*leaf, -0.5), (at["grad_rate"], 0.5, 3, 4, None), (*leaf, 0.3), (*leaf, 0.8)])]
+    return spark.createDataFrame([(i, weight, 2, j, *node) for i, (weight, nodes) in enumerate(trees) for j, node in enumerate(nodes)], Z.NODES)
+
+
+def tree_scores(spark, sf_dir):
+    """Scores of given trees, walked as a table of nodes."""
+    rows = complete_cases(D.lagged_panel(spark, sf_dir), FEATURES)
+    x = F.array(*[F.col(c).cast("double") for c in FEATURES])
+    scored = Z.tree_values(rows, _given_trees(spark), x)
+    return scored.select("entity_id", "year", A.rounded(Z.forest_score()).alias("forest"), A.rounded(Z.boosted_score()).alias("boosted"))
+
+
+def logistic_optimum(spark, sf_dir):
+    """Whether the regression found its optimum: the greatest derivative of its loss by any coefficient is none."""
+    train, _ = R.encode(D.labelled_panel(spark, sf_dir), D.TRAIN_YEARS, D.TEST_YEARS)
+    model = R.classifier("LogisticRegression", "at_risk").fit(train)
+    slopes = Z.logistic_gradient(train, "features", "at_risk", model.coefficients.toArray().tolist(), model.intercept,
+                                 model.getOrDefault("regParam"))
+    worst = slopes.agg((F.max(F.abs("gradient")) < STEEPEST).alias("is_optimum"), (F.count("*") - 1).alias("n_slots"))
+    rows = train.agg(F.count("*").alias("n_rows"), F.sum(F.col("at_risk").cast("bigint")).alias("n_at_risk"))
+    return rows.select("*", *[worst.select(c).scalar().alias(c) for c in worst.columns])
+
+
+def importance_order(spark, sf_dir):
+    """Importances of both ensembles: of all features, in falling order, none negative, at most 1 together."""
+    told = stage(feature_importance(spark, sf_dir).withColumn("place", F.monotonically_increasing_id()), "importance")
+    before = F.lag("importance").over(Window.partitionBy("model").orderBy("place"))
+    return (told.withColumn("falls", F.coalesce(before >= F.col("importance"), F.lit(True)))
+            .groupBy("model").agg(F.array_join(F.sort_array(F.collect_list("feature")), ",").alias("features"),
+                                  F.every("falls").alias("is_in_order"),
+                                  ((F.min("importance") >= 0) & (F.sum("importance") <= 1 + 1e-9)).alias("is_a_share")))
+
+
 def queries() -> dict:
     return {
         "standardise": standardise,
@@ -248,7 +313,12 @@ def queries() -> dict:
         "roc_points": roc_points,
         "silhouette_given": silhouette_given,
         "kmeans_sums": kmeans_sums,
+        "kmeans_nearest": kmeans_nearest,
         "pca_moments": pca_moments,
+        "pca_eigen": pca_eigen,
+        "tree_scores": tree_scores,
+        "logistic_optimum": logistic_optimum,
+        "importance_order": importance_order,
         "auc_given": auc_given,
         "comparison_given": comparison_given,
         "confusion_counts": confusion_counts,
