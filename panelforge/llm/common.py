@@ -6,7 +6,7 @@ import zlib
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Texts longer than this are not drawn into a training sample; they are scored in full all the same.
@@ -43,9 +43,17 @@ def fetched(rows: DataFrame, ids: DataFrame) -> list:
     return sorted(one, key=lambda r: (hashed(str(r.doc_id)), r.doc_id))
 
 
-def drawn(rows: DataFrame, n: int) -> list:
-    """At most ``n`` documents drawn by a hash of doc_id; the draw moves ids, not texts."""
-    ids = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+def drawn(rows: DataFrame, n: int, each: str | None = None) -> list:
+    """At most ``n`` documents drawn by a hash of doc_id, or ``n`` for each value of a column; ids are moved, not texts.
+
+    Tasks keep their own first ``n`` of each value, so no value's ids meet in one task.
+    """
+    if each is None:
+        ids = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    else:
+        order = Window.partitionBy(each).orderBy(F.xxhash64("doc_id"), "doc_id")
+        ids = (rows.select("doc_id", each).distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= n)
+               .select("doc_id").distinct())
     return fetched(rows, ids)
 
 

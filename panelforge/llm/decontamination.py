@@ -139,7 +139,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     docs = docs.drop("hits")
     # what was found grows with the corpus, so it is merged, never broadcast, at any size
     joined = docs.join(stage(per_doc, "found").hint("merge"), F.col("doc_id").eqNullSafe(F.col("__doc")), "left").drop("__doc")
-    kind = "array<struct<item_id:bigint,from_pos:int,n:int>>"
+    kind = f"array<struct<item_id:{benchmark.schema['item_id'].dataType.simpleString()},from_pos:int,n:int>>"
     found = F.array_distinct(_hits(F.col("__w"), F.col("__found"), window))
     matches = F.when(F.col("__found").isNull(), F.array()).otherwise(found).cast(kind)
     hit = F.size(F.array_distinct(F.flatten(F.transform(

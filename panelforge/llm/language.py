@@ -10,6 +10,7 @@ seen. As everything before the softmax is linear, a word's part of the logits is
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,12 +22,14 @@ from pyspark.sql import functions as F
 from panelforge.llm.common import SAMPLE_CHARS, WordCache, drawn, fold, hashed, temperature
 
 BUCKETS, DIM = 1 << 14, 16
-#: Bound of the sample that is fitted on, over all languages.
-SAMPLE = 1200
+#: Bound of the sample that is fitted on, for each language.
+SAMPLE = 300
 UNKNOWN = "und"
 #: Subwords of a word summed at once.
 PIECE = 1 << 16
-_WORD = re.compile(r"[^\W\d_]+")
+#: What ``\\w`` takes besides letters, decimal digits and the underscore: other numbers, such as fractions.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 
 
 class Buckets(dict):
@@ -163,11 +166,11 @@ def fit(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 2.0, seed:
 
 
 def train(docs: DataFrame, n_folds: int = 3, held_fold: int = 1, sample: int = SAMPLE) -> LanguageModel:
-    """Fitted on at most ``sample`` documents with a language, outside the held-out fold, drawn by hash."""
+    """Fitted on at most ``sample`` documents of each language, outside the held-out fold, drawn by hash."""
     rows = (docs.select("doc_id", "text", "lang")
             .where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                     & (F.length("text") <= SAMPLE_CHARS) & (fold(F.col("doc_id"), n_folds) != held_fold)))
-    return fit([(r.text, r.lang) for r in drawn(rows, sample)])
+    return fit([(r.text, r.lang) for r in drawn(rows, sample, "lang")])
 
 
 def predictions(text: Column, model: LanguageModel) -> Column:

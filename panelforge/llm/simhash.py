@@ -235,33 +235,44 @@ def near_duplicates(docs: DataFrame, k: int = 3, size: int = 3) -> DataFrame:
     fingerprint 0 and are linked like any other. A NULL doc_id gets a component but never names one;
     a component of such rows only has NULL. Repeated rows stay. An empty table gives no rows.
     """
-    rows = stage(docs.select("doc_id", fingerprints(F.col("text"), size).alias("fp")), "simhash")
-    classes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    reached = components(near_edges(classes, k)).withColumnRenamed("node", "fp")
-    linked = classes.join(reached, "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component"))
+    rows, linked = _linked(docs, k, size)
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     named = linked.join(least, "component").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _linked(docs: DataFrame, k: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of each row, and (fp, least doc_id, component) of each fingerprint, named by one of them."""
+    rows = stage(docs.select("doc_id", fingerprints(F.col("text"), size).alias("fp")), "simhash")
+    classes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    reached = components(near_edges(classes, k)).withColumnRenamed("node", "fp")
+    linked = classes.join(reached, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    return rows, linked
+
+
 def keep_one(docs: DataFrame, k: int = 3, size: int = 3) -> DataFrame:
-    """One row of each group of near-duplicates: the one whose doc_id names it.
+    """One row of each group of near-duplicates: the least doc_id's, of its texts the one of least fingerprint.
 
-    Of rows that share that doc_id one is kept, so is one of a group without any doc_id. Columns and
-    texts of the kept rows are unchanged.
+    A group without any doc_id keeps the row of its least fingerprint. Of rows with that id and
+    fingerprint the one whose columns hash lowest stays, so the order of rows decides nothing. Columns and texts of the
+    kept rows are unchanged. An empty table gives no rows.
     """
-    found = near_duplicates(docs, k, size)
-    named = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(named.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])  # merged: it grows
-    nameless = docs.where("doc_id is null")
-    if not nameless.isEmpty():
-        orphan = found.where("component_id is null").select("fp").distinct()
-        rest = (nameless.withColumn("__fp", fingerprints(F.col("text"), size))
-                .join(orphan.withColumnRenamed("fp", "__fp"), "__fp", "left_semi"))
-        edges = near_edges(orphan, k)
-        group = components(edges).withColumnRenamed("node", "__fp")
-        rest = (rest.join(group, "__fp", "left").withColumn("__group", F.coalesce("component", "__fp"))
-                .dropDuplicates(["__group"]))
-        kept = kept.unionByName(rest.select(docs.columns))
-    return kept.select(docs.columns)
+    rows, linked = _linked(docs, k, size)
+    # NULL ids come last
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "fp")
+    kept = stage(rows.join(linked.select("fp", "component"), "fp").groupBy("component").agg(F.min(first).alias("w"))
+                 .select("w.doc_id", "w.fp"), "kept")
+    # an id whose rows share a fingerprint tells its rows; of others, few, the fingerprints are looked at again
+    ids = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg((F.min("fp") != F.max("fp")).alias("several"))
+    kept = stage(kept.join(ids, "doc_id", "left").select("doc_id", "fp", F.coalesce("several", F.lit(True)).alias("several")), "kept")
+    choice = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row")
+    plain = (docs.join(kept.where("NOT several").select("doc_id").hint("merge"), "doc_id", "left_semi")  # merged: it grows
+             .groupBy("doc_id").agg(choice).select("__row.*"))
+    some = kept.where("several").select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp"))
+    if some.isEmpty():
+        return plain
+    named = docs.join(some.select(F.col("__id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    mixed = named.unionByName(docs.where("doc_id IS NULL"))  # rows without an id meet by fingerprint only
+    looked = mixed.withColumn("__look", fingerprints(F.col("text"), size)).join(
+        some, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__look") == F.col("__fp")), "left_semi")
+    return plain.unionByName(looked.groupBy("doc_id", "__look").agg(choice).select("__row.*"))
