@@ -66,4 +66,14 @@ ORACLES = {
     "multi_year_range": """
         SELECT o_orderkey, CAST(year(o_orderdate) + 15 AS INTEGER) AS year, o_totalprice
         FROM orders WHERE year(o_orderdate) + 15 BETWEEN 2013 AND 2017""",
+    "exported_cleaned": """
+        WITH c(i, category, metric) AS (VALUES (0, 'admitidos', 'ADMITIDOS'), (1, 'docentes', 'NUM DE DOCENTES'),
+               (2, 'graduados', 'GRADUADOS'), (3, 'inscritos', 'INSCRITOS'), (4, 'matriculados', 'MATRICULADOS'),
+               (5, 'matriculados_primer_anho', 'MATRICULADOS PRIMER CURSO'))
+        SELECT category, CASE WHEN category = 'docentes' THEN 'CÓDIGO DE LA INSTITUCIÓN|TIPO IES|SECTOR IES|PRINCIPAL O SECCIONAL|AÑO|NUM DE DOCENTES|CÓDIGO SNIES DEL PROGRAMA|PROGRAMA ACADÉMICO'
+                              ELSE 'CÓDIGO DE LA INSTITUCIÓN|TIPO IES|SECTOR IES|PRINCIPAL O SECCIONAL|CÓDIGO SNIES DEL PROGRAMA|PROGRAMA ACADÉMICO|AÑO|' || metric END AS columns,
+               count(*) AS n, CAST(sum(CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE trunc(o_totalprice) END) AS BIGINT) AS total,
+               count(DISTINCT year(o_orderdate)) AS n_years, 0::BIGINT AS n_without_sector
+        FROM orders JOIN c ON o_orderkey % 6 = i
+        WHERE o_orderkey % 11 <> 0 AND year(o_orderdate) + 17 BETWEEN 2013 AND 2030 GROUP BY category, metric""",
 }

@@ -81,6 +81,20 @@ ORACLES = {
     "logistic_optimum": TRAINING + """
         SELECT count(*) AS n_rows, CAST(sum(at_risk) AS BIGINT) AS n_at_risk, true AS is_optimum,
                7 + count(DISTINCT sector) + 1 + count(DISTINCT character) + 1 AS n_slots FROM tr""",
+    "model_priorities": ENTITIES + f"""
+        SELECT * FROM (VALUES ('listed entities are the clustered ones at risk', 0::BIGINT, true), ('listed by falling years at risk', 0, true),
+                 ('last years are test years', 0, true), ('all have a label', 0, true), ('departments by falling counts', 0, true)) v(name, n, holds)
+        UNION ALL SELECT 'clustered entities', count(*), true FROM ent
+        UNION ALL SELECT 'predicted rows', count(*), true FROM labelled
+        WHERE {COMPLETE} AND prev_grad_rate IS NOT NULL AND at_risk IS NOT NULL AND year BETWEEN 2000 AND 2001""",
+    "exported_models": ENTITIES + f"""
+        SELECT * FROM (VALUES ('cluster_profiles', NULL::BIGINT, true), ('silhouette_scores', NULL, true), ('model_comparison', 3, true),
+                 ('feature_importance', 14, true), ('roc_data', 300, true), ('winner', 1, true), ('best k', NULL, true)) v(name, n, whole)
+        UNION ALL SELECT 'institutional_clusters', count(*), true FROM ent
+        UNION ALL SELECT 'pca_coords', count(*), true FROM ent
+        UNION ALL SELECT 'panel', count(*), true FROM labelled
+        UNION ALL SELECT 'risk_predictions', count(*), true FROM labelled
+        WHERE {COMPLETE} AND prev_grad_rate IS NOT NULL AND at_risk IS NOT NULL AND year BETWEEN 2000 AND 2001""",
     "importance_order": f"""
         SELECT model, '{",".join(MODEL_FEATURES)}' AS features, true AS is_in_order, true AS is_a_share
         FROM (VALUES ('RandomForest'), ('GBT')) m(model)""",

@@ -76,6 +76,7 @@ CHANGE = PANEL + """
 ORACLES = {
     "panel_metrics": PANEL + "SELECT * FROM metrics",
     "panel_from_facts": PANEL + "SELECT * FROM metrics",
+    "panel_from_stored": PANEL + "SELECT * FROM metrics",
     "fact_sums": PANEL + """
         SELECT sup.*, yr AS year, l_returnflag, sum(l_quantity) AS units
         FROM li JOIN sup ON l_suppkey = entity_id GROUP BY ALL""",
@@ -181,6 +182,17 @@ ORACLES = {
                CAST(least(CASE WHEN wy > 0 THEN floor((y - y0) / wy) ELSE 0 END, 24) AS INTEGER) AS bin_y,
                count(*) AS n
         FROM p, s GROUP BY 1, 2""",
+    "hex_density": PANEL + """
+        , p AS (SELECT staff_load AS x, grad_rate * 100 AS y FROM ratios
+                WHERE staff_load < 1500 AND grad_rate < 2 AND enrolled IS NOT NULL)
+        , s AS (SELECT min(x) x0, max(x) - min(x) wx, min(y) y0, max(y) - min(y) wy FROM p)
+        , u AS (SELECT CASE WHEN wx > 0 THEN (x - x0) / wx * 25 ELSE 0 END AS u, CASE WHEN wy > 0 THEN (y - y0) / wy * 14 ELSE 0 END AS r FROM p, s)
+        , c AS (SELECT u - r / 2 AS q, r, -(u - r / 2) - r AS t FROM u)
+        , n AS (SELECT *, floor(q + 0.5) AS qn, floor(r + 0.5) AS rn, floor(t + 0.5) AS tn FROM c)
+        , h AS (SELECT CASE WHEN abs(qn - q) > abs(rn - r) AND abs(qn - q) > abs(tn - t) THEN -rn - tn ELSE qn END AS q,
+                       CASE WHEN NOT (abs(qn - q) > abs(rn - r) AND abs(qn - q) > abs(tn - t)) AND abs(rn - r) > abs(tn - t)
+                            THEN -qn - tn ELSE rn END AS r FROM n)
+        SELECT CAST(q AS INTEGER) AS q, CAST(r AS INTEGER) AS r, count(*) AS n FROM h GROUP BY ALL""",
     "area_loss": PANEL + """
         , l AS (SELECT p_type AS area, yr, l_quantity q, l_linestatus = 'F' e, l_linestatus = 'F' AND l_returnflag = 'A' g
                 FROM li JOIN part ON l_partkey = p_partkey)

@@ -243,6 +243,33 @@ def density_grid(df: DataFrame, x: str, y: str, cells: int = 25) -> DataFrame:
             .groupBy("bin_x", "bin_y").agg(F.count("*").alias("n")).orderBy("bin_x", "bin_y"))
 
 
+def hex_density(df: DataFrame, x: str, y: str, cells: int = 25) -> DataFrame:
+    """Counts per hexagon, ``cells`` of them over the range of ``x`` and as many rows as keep them regular; empty
+    ones are absent. Reads ``df`` twice.
+
+    Hexagons stand on a corner and are named by axial coordinates: ``r`` is the row, ``q`` moves half a hexagon
+    to the right with each row. A point is in the hexagon that its coordinates round to, all three of which sum to zero.
+    """
+    rows = df.dropna(subset=[x, y])
+    span = rows.agg(F.struct(F.min(x).alias("x0"), F.max(x).alias("x1"),
+                             F.min(y).alias("y0"), F.max(y).alias("y1"))).scalar()
+
+    def along(c: str, low: str, high: str, n: int) -> Column:
+        width = F.col(high) - F.col(low)
+        return F.when(width > 0, (F.col(c) - F.col(low)) / width * n).otherwise(0.0)
+
+    placed = rows.select(x, y, span.alias("_s")).select(
+        along(x, "_s.x0", "_s.x1", cells).alias("_u"), along(y, "_s.y0", "_s.y1", int(cells / 3 ** 0.5)).alias("_r"))
+    exact = placed.select((F.col("_u") - F.col("_r") / 2).alias("_q"), "_r").withColumn("_t", -F.col("_q") - F.col("_r"))
+    near = exact.select("*", *[F.floor(F.col(c) + 0.5).alias(f"{c}n") for c in ("_q", "_r", "_t")])
+    off = {c: F.abs(F.col(f"{c}n") - F.col(c)) for c in ("_q", "_r", "_t")}
+    turn_q = (off["_q"] > off["_r"]) & (off["_q"] > off["_t"])
+    turn_r = ~turn_q & (off["_r"] > off["_t"])
+    cell = near.select(F.when(turn_q, -F.col("_rn") - F.col("_tn")).otherwise(F.col("_qn")).cast("int").alias("q"),
+                       F.when(turn_r, -F.col("_qn") - F.col("_tn")).otherwise(F.col("_rn")).cast("int").alias("r"))
+    return cell.groupBy("q", "r").agg(F.count("*").alias("n")).orderBy("r", "q")
+
+
 def area_loss(area_years: DataFrame, area: str = "area", spec: PanelSpec = DEFAULT, top: int = 15) -> DataFrame:
     """Demand against permanence per area, from sums per (area, year): mean flows, rates and loss."""
     s = spec

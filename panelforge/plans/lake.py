@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.numbers import to_int
 from panelforge.operators import schema as S
-from panelforge.operators.history import merge_all, merge_category, union_years, wanted_years
+from panelforge.operators.cleaning import prepare_for_analysis
+from panelforge.operators.history import canonical_columns, clean_values, merge_all, merge_category, union_years, wanted_years
 from panelforge.plans import driver_tables as D
-from panelforge.session import shared_dir
+from panelforge.session import shared_dir, stage
 from panelforge.sources import delimited, lake, reports
 from panelforge.sources.discovery import MULTI_YEAR
 
@@ -150,7 +151,7 @@ def union_schema_evolution(spark, sf_dir):
 
 def _dirty_year(orders, category, year, shift):
     """Orders as a category's table of one year, under that year's headers; calendar moved by ``shift``."""
-    metric = {"graduados": "GRADUADOS", "inscritos": "Inscripciones 2017", "matriculados": "Matriculados 2016"}[category]
+    metric = {"graduados": "GRADUADOS", "inscritos": "Inscripciones 2017", "matriculados": "Matriculados 2016"}.get(category, S.metric_of(category))
     key = F.col("o_orderkey")
     columns = [
         F.concat(F.lit(" "), F.col("o_custkey"), F.lit(".0")).alias("Código de \nla Institución"),
@@ -201,6 +202,24 @@ def multi_year_range(spark, sf_dir):
     return wanted_years(orders, "graduados").select("o_orderkey", F.col(S.YEAR).alias("year"), "o_totalprice")
 
 
+def exported_cleaned(spark, sf_dir):
+    """The six categories cleaned for analysis, exported as CSV with byte order marks and read again."""
+    orders, root = D.table(spark, sf_dir, "orders"), shared_dir(spark, "cleaned")
+    tables = {}
+    for i, category in enumerate(sorted(S.METRICS)):
+        raw = _dirty_year(orders.filter(F.col("o_orderkey") % len(S.METRICS) == i), category, None, 17)
+        tables[category] = stage(canonical_columns(raw, category).transform(clean_values, category), "canonical").transform(
+            prepare_for_analysis, category)
+    delimited.export_tables(tables, root, bom=True)
+    out = []
+    for category in tables:
+        read = spark.read.option("header", True).option("escape", '"').csv(f"{root}/{category}")
+        out.append(read.agg(F.lit(category).alias("category"), F.lit("|".join(read.columns)).alias("columns"), F.count("*").alias("n"),
+                            F.sum(F.col(S.metric_of(category)).cast("bigint")).alias("total"), F.count_distinct(S.YEAR).alias("n_years"),
+                            F.count_if(F.col("SECTOR IES").isNull()).alias("n_without_sector")))
+    return union_years(out)
+
+
 def queries() -> dict:
     return {
         "lake_roundtrip": lake_roundtrip,
@@ -217,4 +236,5 @@ def queries() -> dict:
         "union_schema_evolution": union_schema_evolution,
         "historical_merge": historical_merge,
         "multi_year_range": multi_year_range,
+        "exported_cleaned": exported_cleaned,
     }

@@ -236,6 +236,59 @@ def exported_outputs(spark, sf_dir):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+def _models(spark, sf_dir):
+    """One staged panel, its clusters and its risk study: the chain that a user runs."""
+    panel = stage(D.labelled_panel(spark, sf_dir), "labelled")
+    return panel, K.segment(panel), R.study(panel, D.TRAIN_YEARS, D.TEST_YEARS)
+
+
+def model_priorities(spark, sf_dir):
+    """The intervention list, risk by department and ranking of the models' own clusters and predictions, by what must hold."""
+    _, found, study = _models(spark, sf_dir)
+    told = stage(study.predictions(), "predictions")
+    risky = told.where("prediction = 1")
+    ranked = stage(A.intervention_priority(found.clusters, told).withColumn("place", F.monotonically_increasing_id()), "ranked")
+    order = Window.orderBy("place")  # a row per entity at risk
+    falls = (F.lag("years_at_risk").over(order) >= F.col("years_at_risk")) | F.lag("place").over(order).isNull()
+    clustered = found.clusters.select("entity_id")
+    listed = ranked.withColumn("falls", falls).agg(
+        F.count("*").alias("n"), F.count_distinct("entity_id").alias("d"), F.every("falls").alias("falls"),
+        F.sum("years_at_risk").alias("years"), F.every(F.col("last_year").isin(D.TEST_YEARS)).alias("in_test"),
+        F.every(F.col("cluster_label").isNotNull()).alias("labelled")).first()
+    expected = risky.join(clustered, "entity_id", "left_semi").agg(F.count_distinct("entity_id").alias("n"), F.count("*").alias("years")).first()
+    departments = A.risk_by_department(risky).collect()
+    return spark.createDataFrame([
+        ("clustered entities", clustered.count(), True), ("predicted rows", told.count(), True),
+        ("listed entities are the clustered ones at risk", 0, (listed.n, listed.d, listed.years or 0) == (expected.n, expected.n, expected.years)),
+        ("listed by falling years at risk", 0, bool(listed.falls)), ("last years are test years", 0, bool(listed.in_test)),
+        ("all have a label", 0, bool(listed.labelled)),
+        ("departments by falling counts", 0, [d.n for d in departments] == sorted((d.n for d in departments), reverse=True))],
+        "name string, n bigint, holds boolean")
+
+
+def exported_models(spark, sf_dir):
+    """All outputs of the models written as CSV with byte order marks and read again: columns, rows, whether none was lost."""
+    root = shared_dir(spark, "models")
+    panel, found, study = _models(spark, sf_dir)
+    tables = {"institutional_clusters": found.clusters.drop("PC1", "PC2"), "cluster_profiles": found.profiles,
+              "pca_coords": found.clusters, "silhouette_scores": K.sweep_frame(spark, found.scores), "panel": panel,
+              "risk_predictions": study.predictions(), "model_comparison": study.comparison(spark),
+              "feature_importance": study.importance(spark), "roc_data": study.roc()}
+    tables = {n: stage(df, n) for n, df in tables.items()}
+    export_tables(tables, root, bom=True)
+    rows = []
+    for name, df in tables.items():
+        read = spark.read.option("header", True).option("escape", '"').csv(f"{root}/{name}")
+        n = df.count() if name not in ("cluster_profiles", "silhouette_scores") else None
+        rows.append((name, n, read.columns == df.columns and read.count() == df.count()))
+    best = max(study.metrics, key=lambda m: m["auc_roc"])
+    marked = [r for r in tables["model_comparison"].collect() if r.best]
+    rows.append(("winner", len(marked), marked[0].model == best["model"] == tables["risk_predictions"].first().winner))
+    rows.append(("best k", None, tables["silhouette_scores"].orderBy(F.desc("silhouette"), "k").first().k == found.k
+                 == tables["cluster_profiles"].count()))
+    return spark.createDataFrame(rows, "name string, n bigint, whole boolean")
+
+
 def _study(spark, sf_dir, **options):
     return R.study(D.labelled_panel(spark, sf_dir), D.TRAIN_YEARS, D.TEST_YEARS, **options)
 
@@ -319,6 +372,8 @@ def queries() -> dict:
         "tree_scores": tree_scores,
         "logistic_optimum": logistic_optimum,
         "importance_order": importance_order,
+        "model_priorities": model_priorities,
+        "exported_models": exported_models,
         "auc_given": auc_given,
         "comparison_given": comparison_given,
         "confusion_counts": confusion_counts,

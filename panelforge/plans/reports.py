@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators import analytics as A
 from panelforge.operators.panel import (
-    DEFAULT, complete_cases, join_facts, risk_thresholds, sum_by_entity_year,
+    DEFAULT, complete_cases, join_facts, join_stored, risk_thresholds, store_facts, sum_by_entity_year,
 )
 from panelforge.plans import driver_tables as D
 from panelforge.session import stage
@@ -14,11 +14,12 @@ from panelforge.session import stage
 MAX_LOAD = D.MAX_LOAD
 
 
-def facts_by_category(spark, sf_dir):
-    """Six separate facts at row level, as a lake would hold them."""
+def facts_by_category(spark, sf_dir, keep=lambda rows: rows):
+    """Six separate facts at row level, as a lake would hold them, from rows that ``keep`` may write first."""
     rows = D.table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("entity_id"), F.year("l_shipdate").alias("year"), "l_quantity", "l_partkey",
         "l_linenumber", "l_linestatus", "l_returnflag", "l_discount")
+    rows = keep(rows)
 
     def fact(metric, condition=F.lit(True)):
         return rows.filter(condition).select("entity_id", "year", F.col("l_quantity").alias(metric))
@@ -40,6 +41,13 @@ def panel_from_facts(spark, sf_dir):
     return joined.join(D.suppliers(spark, sf_dir), "entity_id")
 
 
+def panel_from_stored(spark, sf_dir):
+    """The same panel from facts that are kept bucketed alike and joined where they lie; the rows are read once."""
+    keys = ["entity_id", "year"]
+    tables = store_facts(facts_by_category(spark, sf_dir, stage), keys)
+    return join_stored(tables, DEFAULT.enrolled, keys).join(D.suppliers(spark, sf_dir), "entity_id")
+
+
 def fact_sums(spark, sf_dir):
     """One fact by entity, year and a further column."""
     rows = (D.table(spark, sf_dir, "lineitem")
@@ -110,6 +118,11 @@ def density_grid(spark, sf_dir):
     return A.density_grid(rows.withColumn("rate_pct", F.col("grad_rate") * 100), "staff_load", "rate_pct")
 
 
+def hex_density(spark, sf_dir):
+    rows = A.plausible(D.staged_ratios(spark, sf_dir), MAX_LOAD)
+    return A.hex_density(rows.withColumn("rate_pct", F.col("grad_rate") * 100), "staff_load", "rate_pct")
+
+
 def area_loss(spark, sf_dir):
     """Areas are part types; units are summed per part before the parts are joined."""
     per_part = (D.table(spark, sf_dir, "lineitem")
@@ -127,6 +140,7 @@ def queries() -> dict:
     return {
         "panel_metrics": D.metrics_panel,
         "panel_from_facts": panel_from_facts,
+        "panel_from_stored": panel_from_stored,
         "fact_sums": fact_sums,
         "panel_ratios": D.ratios_panel,
         "panel_growth": panel_growth,
@@ -152,6 +166,7 @@ def queries() -> dict:
         "regional_bands": lambda s, d: A.regional_bands(_change(s, d)),
         "yearly_correlation": lambda s, d: A.yearly_correlation(D.staged_ratios(s, d), MAX_LOAD),
         "density_grid": density_grid,
+        "hex_density": hex_density,
         "area_loss": area_loss,
         "exec_summary": lambda s, d: A.executive_summary(D.labelled_panel(s, d)),
     }

@@ -108,3 +108,17 @@ def test_year_discovery_matches_given_years(spark):
                                "entity_id int, department string, year int, grad_rate double")
     assert A.years_of(df) == [2013, 2014]
     assert rows(A.department_years(df), "department") == [("d", 2, 50.0, 25.0, 37.5), ("e", 1, None, None, None)]
+
+
+def test_stored_facts_join_without_moving_a_row(spark):
+    from panelforge.operators.panel import join_facts, join_stored, store_facts
+
+    facts = {"a": [(1, 2020, 5.0), (1, 2020, 1.0), (2, 2021, 2.0), (None, 2020, 7.0)], "b": [(1, 2020, 3.0), (None, 2020, 4.0), (3, 2020, 1.0)],
+             "c": []}
+    frames = {m: spark.createDataFrame(r, f"k int, y int, {m} double") for m, r in facts.items()}
+    stored = join_stored(store_facts(frames, ["k", "y"], 3), "a", ["k", "y"])
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan and "Sort [" not in plan
+    order = lambda df: sorted(df.collect(), key=str)
+    assert order(stored) == order(join_facts(frames, "a", ["k", "y"])) == [
+        (1, 2020, 6.0, 3.0, 0.0), (2, 2021, 2.0, 0.0, 0.0), (None, 2020, 7.0, 0.0, 0.0)]
