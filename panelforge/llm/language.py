@@ -10,12 +10,12 @@ seen. As everything before the softmax is linear, a word's part of the logits is
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +27,16 @@ SAMPLE = 300
 UNKNOWN = "und"
 #: Subwords of a word summed at once.
 PIECE = 1 << 16
-#: What ``\\w`` takes besides letters, decimal digits and the underscore: other numbers, such as fractions.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+_WORD = re.compile(r"[^\W\d_]+")  # also takes numbers that aren't decimal digits, such as fractions
+_LETTERS = regex.compile(r"\p{L}+")
+
+
+def letter_runs(text: str) -> list[str]:
+    """Runs of letters, in order."""
+    found = _WORD.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return [run for w in found for run in ([w] if w.isalpha() else _LETTERS.findall(w))]
 
 
 class Buckets(dict):
@@ -92,7 +99,7 @@ class Reader:
 
     def logits(self, text: str | None) -> np.ndarray | None:
         """None for a text without letters."""
-        words = _WORD.findall((text or "").lower())
+        words = letter_runs((text or "").lower())
         if not words:
             return None
         total = np.zeros(self.parts.shape[1])
@@ -108,7 +115,7 @@ def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     out, known, buckets = [], {}, Buckets()
     for t in texts:
         ids: list[int] = []
-        for w in _WORD.findall(t.lower()):
+        for w in letter_runs(t.lower()):
             if w not in known:
                 known[w] = subwords(w, buckets)
             ids += known[w]
@@ -120,7 +127,7 @@ def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 def fit(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 2.0, seed: int = 11) -> LanguageModel:
     """Trained on (text, language) pairs: each text as a whole and one short piece of it."""
     rng = np.random.default_rng(seed)
-    sample = [(t, l) for t, l in sample if _WORD.search(t)]
+    sample = [(t, l) for t, l in sample if letter_runs(t)]
     languages = sorted({l for _, l in sample})
     number = {l: i for i, l in enumerate(languages)}
     texts, y = [], []
@@ -128,7 +135,7 @@ def fit(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 2.0, seed:
         words = t.split()
         at = int(rng.integers(0, max(1, len(words) - 12)))
         for piece in (t, " ".join(words[at:at + int(rng.integers(3, 13))])):
-            if _WORD.search(piece):
+            if letter_runs(piece):
                 texts.append(piece), y.append(number[l])
     model = LanguageModel(languages, rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32),
                           rng.normal(0, 0.1, (DIM, max(1, len(languages)))), np.zeros(max(1, len(languages))), 1.0, 0.0)
