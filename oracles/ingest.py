@@ -98,9 +98,12 @@ ORACLES = {
                                   WHEN 2 THEN p_name || ' "' || p_type || '"' ELSE p_name END AS name,
                CAST(p_size AS VARCHAR) AS size, CAST(NULL AS VARCHAR) AS empty, '5" x' AS plain, p_brand FROM part""",
     "repatch_languages": SHEETS + """
+        , good AS (  -- a workbook whose best sheet gives no table keeps the one it has
+          SELECT source, lang, doc_id FROM best JOIN prepared USING (doc_id) WHERE lang = 'en' AND status = 'success')
         , chosen AS (
           SELECT source, lang, min(doc_id) AS doc_id FROM documents WHERE lang <> 'en' GROUP BY ALL
-          UNION ALL SELECT source, lang, doc_id FROM best WHERE lang = 'en')
+          UNION ALL SELECT source, lang, doc_id FROM good
+          UNION ALL SELECT source, lang, min(doc_id) FROM documents WHERE lang = 'en' AND source NOT IN (SELECT source FROM good) GROUP BY ALL)
         SELECT source, doc_id, n_columns, n_records, lang FROM chosen JOIN prepared USING (doc_id) WHERE status = 'success'""",
     "fold_cells": """
         SELECT doc_id, md5(t) AS folded_md5, regexp_matches(t, 'cion|ethe|oun') OR t = 'a' AS mentions
