@@ -130,7 +130,7 @@ def store_facts(facts: Mapping[str, DataFrame], keys: Sequence[str], buckets: in
 
 
 def join_stored(tables: Mapping[str, DataFrame], driving: str, keys: Sequence[str]) -> DataFrame:
-    """``join_facts`` over tables of ``store_facts``: a chain of left joins, none of which moves or sorts rows."""
+    """``join_facts`` over tables of ``store_facts``: a chain of left joins, none of which moves a row; Spark still sorts each bucket."""
     joined = tables[driving]
     for metric, table in tables.items():
         if metric != driving:
