@@ -1,5 +1,6 @@
 """Folding and run keys of the deduplication by paragraphs and passages."""
 
+import random
 import re
 import string
 
@@ -7,7 +8,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from panelforge.llm import paragraphs, passages, reading
+from panelforge.llm import paragraphs, passages, queries, reading
 
 LINES = ["", " ", "A", "A  b", " \tA\x0b\x0c b \r", "one two\tthree", "\tÀ É  ñ Z ", "İI ẞß ſ K", "a   b", "Ω  A\r\r B"]
 
@@ -121,3 +122,25 @@ def test_only_the_text_of_the_class_is_taken_where_ids_repeat(spark):
     plan = paragraphs.texts_of(docs, at)._jdf.queryExecution().executedPlan().toString()
     keys = re.findall(r"SortMergeJoin \[[^\]]*\]|hashpartitioning\([^\n]*", plan)
     assert any(k.startswith("SortMergeJoin") for k in keys) and not any("md5" in k for k in keys)
+
+
+def test_the_query_compares_lines_of_any_length(spark, tmp_path):
+    """Its rows of lines are those of comparing all lines of 1 to 24 words with all others."""
+    rng, lines = random.Random(3), ["All rights", "Home", "one two three four", "Ω"]
+    for n in range(5, 25):
+        base = [f"w{n}v{i}" for i in range(n)]
+        lines += [" ".join(base), " ".join([*base, "more"]), " ".join(["before", *base]), " ".join([*base[:n // 2], "x", *base[n // 2 + 1:]])]
+    texts = {i + 1: "\n".join(rng.sample(lines, 12)) for i in range(16)}
+    texts |= {20: "home\n \n\t\n\r", 21: " \n\nALL  rights\n\r", 22: "", 23: None, 24: "home again", None: "Home"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    at = sorted((d, i, set(paragraphs.shingle_hashes(" ".join(line.lower().split())).tolist())) for d, t in texts.items()
+                if d and t for i, line in enumerate(t.split("\n")) if line.split())
+    first = list(range(len(at)))
+    while True:  # the least place that any chain of alike lines leads to
+        seen = [min(first[j] for j, b in enumerate(at) if len(a[2] & b[2]) / len(a[2] | b[2]) >= paragraphs.SIMILARITY) for a in at]
+        if seen == first:
+            break
+        first = seen
+    wanted = [(*at[i][:2], *at[k][:2], i == k) for i, k in enumerate(first) if first.count(k) > 1]
+    found = queries.op2_paragraph_dedup(spark, str(tmp_path)).where("first_word is null").drop("first_word", "n_words")
+    assert len(wanted) > 100 and sorted(map(tuple, found.collect())) == wanted
